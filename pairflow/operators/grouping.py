@@ -8,11 +8,10 @@ or ``sum_by_key`` answers it with partial aggregation instead.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -71,9 +70,21 @@ def group_by_key(
     return grouped.select(*keys, chunk.alias("chunk"), vals.alias(out))
 
 
-def _two_level(grouped: DataFrame, keys: list[str], split: bool, per_row: Column, merge: Callable[[Column], Column], out: str) -> DataFrame:
-    """Apply ``per_row`` to each gathered list; merge the chunks of split keys."""
-    partial = grouped.select(*keys, per_row.alias(out))
+def _two_level(
+    grouped: DataFrame,
+    keys: list[str],
+    split: bool,
+    values: list[str],
+    per_row: Callable[[Column], Column],
+    merge: Callable[[Column], Column],
+    out: str,
+) -> DataFrame:
+    """Apply ``per_row`` to each gathered list; merge the chunks of split keys.
+
+    The unwrapped list is projected once so the reduction does not rebuild it
+    for every reference."""
+    lists = grouped.select(*keys, _unwrap(values).alias("_xs"))
+    partial = lists.select(*keys, per_row(F.col("_xs")).alias(out))
     if not split:
         return partial
     return partial.groupBy(*keys).agg(merge(F.collect_list(out)).alias(out))
@@ -95,8 +106,8 @@ def group_then_fold(
     """
     keys = as_list(keys)
     grouped, split = _gather(df, keys, [value], max_rows)
-    per_row = F.aggregate(_unwrap([value]), zero, op)
-    return _two_level(grouped, keys, split, per_row, lambda xs: F.aggregate(xs, zero, op), out)
+    fold = lambda xs: F.aggregate(xs, zero, op)
+    return _two_level(grouped, keys, split, [value], fold, fold, out)
 
 
 def _reduce_list(xs: Column, f: Callable[[Column, Column], Column]) -> Column:
@@ -129,8 +140,8 @@ def reduce_by_key(
             raise ValueError(f"unknown built-in reducer {f!r}; known: {sorted(BUILTIN_REDUCERS)}")
         return df.groupBy(*keys).agg(BUILTIN_REDUCERS[f](F.col(value)).alias(out))
     grouped, split = _gather(df, keys, [value], max_rows)
-    per_row = _reduce_list(_unwrap([value]), f)
-    return _two_level(grouped, keys, split, per_row, lambda xs: _reduce_list(xs, f), out)
+    red = lambda xs: _reduce_list(xs, f)
+    return _two_level(grouped, keys, split, [value], red, red, out)
 
 
 # Number of distinct keys a map task folds before it flushes its partial results.
@@ -146,44 +157,53 @@ def reduce_by_key_pandas(
 ) -> DataFrame:
     """reduceByKey with an opaque Python binary function (A4 c).
 
-    Two phases over Arrow batches, the DataFrame form of a combiner:
-    ``mapInPandas`` folds each task's rows per key (bounded memory: flushes
+    Two phases over Arrow record batches, the DataFrame form of a combiner:
+    ``mapInArrow`` folds each task's rows per key (bounded memory: flushes
     every ``PARTIAL_FLUSH_KEYS`` keys), one exchange on the key, then
-    ``applyInPandas`` folds the partials, streaming a key's partial rows
-    batch by batch so a hot key never sits in memory whole.
+    ``applyInArrow`` folds the partials, streaming a key's partial rows
+    batch by batch so a hot key never sits in memory whole.  Values reach
+    ``fn`` as exact Python values (``None`` for null, ints stay ints); a
+    null key is one group.
     """
     keys = as_list(keys)
     out = out or value
     fields = [df.schema[k] for k in keys] + [StructField(out, df.schema[value].dataType, True)]
     schema = StructType(fields)
     cols = keys + [out]
+    nk = len(keys)
 
-    def fold_frame(pdf: pd.DataFrame, acc: dict) -> None:
-        for k, s in pdf.groupby(keys, sort=False, dropna=False)[out]:
-            k = k if isinstance(k, tuple) else (k,)
-            v = functools.reduce(fn, s.tolist())
+    def fold_batch(batch, acc: dict) -> None:
+        key_lists = [batch.column(i).to_pylist() for i in range(nk)]
+        vals = batch.column(nk).to_pylist()
+        for k, v in zip(zip(*key_lists), vals):
             acc[k] = fn(acc[k], v) if k in acc else v
 
-    def emit(acc: dict) -> pd.DataFrame:
-        rows = [(*k, v) for k, v in acc.items()]
-        return pd.DataFrame.from_records(rows, columns=cols)
+    def emit(acc: dict, arrow_schema):
+        columns = list(zip(*[(*k, v) for k, v in acc.items()]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(c), type=arrow_schema.field(i).type) for i, c in enumerate(columns)], schema=arrow_schema
+        )
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc: dict = {}
-        for pdf in batches:
-            fold_frame(pdf, acc)
+        arrow_schema = None
+        for batch in batches:
+            arrow_schema = batch.schema
+            fold_batch(batch, acc)
             if len(acc) >= PARTIAL_FLUSH_KEYS:
-                yield emit(acc)
+                yield emit(acc, arrow_schema)
                 acc = {}
         if acc:
-            yield emit(acc)
+            yield emit(acc, arrow_schema)
 
-    def final(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def final(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc: dict = {}
-        for pdf in batches:
-            fold_frame(pdf, acc)
+        arrow_schema = None
+        for batch in batches:
+            arrow_schema = batch.schema
+            fold_batch(batch, acc)
         if acc:
-            yield emit(acc)
+            yield emit(acc, arrow_schema)
 
-    partials = df.select(*keys, F.col(value).alias(out)).mapInPandas(partial, schema)
-    return partials.groupBy(*keys).applyInPandas(final, schema)
+    partials = df.select(*keys, F.col(value).alias(out)).mapInArrow(partial, schema)
+    return partials.groupBy(*keys).applyInArrow(final, schema)

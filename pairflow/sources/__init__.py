@@ -27,3 +27,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def register_views(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABLES) -> None:
     for name in names:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash-repartition an input that has fewer splits than the session has cores.
+
+    Parquet splits by row group: a small table written as one row group is
+    one task, and CPU-heavy per-row work (tokenising text) then runs on one
+    core.  Such an input is at most ``cores x maxPartitionBytes``, so the
+    extra exchange is bounded; an input with enough splits (any large one)
+    is returned unchanged and pays nothing.  Hashing on ``cols`` keeps the
+    placement deterministic when a task is re-run.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *cols) if cols else df.repartition(cores)

@@ -1,0 +1,70 @@
+"""The reference programs' two golden outputs, reached by every route."""
+
+from pyspark.sql import functions as F
+
+from pairflow import (
+    cogroup,
+    count_by_value,
+    format_row,
+    group_then_fold,
+    join,
+    key_value,
+    pair_with,
+    reduce_by_key,
+    reduce_by_key_pandas,
+    sum_by_key,
+    words,
+)
+from pairflow.operators import assert_same_multiset
+
+from conftest import JOINED, WORD_COUNT
+
+
+def strings(df):
+    return sorted(r[0] for r in df.collect())
+
+
+def test_word_count_count_by_value(lines):
+    counts = count_by_value(words(lines, "line"), ["word"])
+    assert strings(counts.select(format_row("word", "n"))) == sorted(WORD_COUNT)
+
+
+def test_word_count_routes_agree(lines):
+    w = words(lines, "line")
+    pairs = pair_with(w, "word", 1, "one")
+    routes = {
+        "count": count_by_value(w, ["word"]),
+        "group_fold": group_then_fold(pairs, "word", "one", F.lit(0).cast("bigint"), lambda a, x: a + x, "n"),
+        "reduce_builtin": reduce_by_key(pairs, "word", "one", "sum", out="n"),
+        "reduce_expr": reduce_by_key(pairs, "word", "one", lambda a, b: a + b, out="n"),
+        "reduce_python": reduce_by_key_pandas(pairs, "word", "one", lambda a, b: a + b, out="n"),
+        "sum": sum_by_key(pairs, "word", "one", out="n"),
+    }
+    for name, df in routes.items():
+        got = strings(df.select(format_row("word", "n")))
+        assert got == sorted(WORD_COUNT), name
+
+
+def test_int_pairs_sum_to_bigint(lines):
+    pairs = pair_with(words(lines, "line"), "word", 1, "one", dtype="int")
+    res = sum_by_key(pairs, "word", "one", out="n")
+    assert res.schema["n"].dataType.simpleString() == "bigint"
+
+
+def test_join_golden(lines, meanings):
+    counts = count_by_value(words(lines, "line"), ["word"])
+    res = join(counts, meanings, "word").select(format_row("word", "n", "meaning"))
+    assert strings(res) == sorted(JOINED)
+
+
+def test_join_equals_cogroup_product(lines, meanings):
+    counts = count_by_value(words(lines, "line"), ["word"])
+    cg = cogroup(counts, meanings, "word", "n", "meaning")
+    product = cg.select("word", F.explode("vs").alias("n"), "ws").select("word", "n", F.explode("ws").alias("meaning"))
+    assert_same_multiset(join(counts, meanings, "word"), product)
+
+
+def test_key_value_shape(meanings):
+    kv = key_value(meanings, "word", F.upper("meaning"))
+    assert kv.columns == ["key", "value"]
+    assert ("hast", "HAVE") in [tuple(r) for r in kv.collect()]

@@ -1,0 +1,137 @@
+"""Keyed operators: null rules, semigroup dispatch, reduce routes."""
+
+import math
+
+import pytest
+from pyspark.errors import ArithmeticException
+from pyspark.sql import functions as F
+
+from pairflow import (
+    count_by_value,
+    group_by_key,
+    reduce_by_key,
+    reduce_by_key_pandas,
+    rows_to_df,
+    sum_by_key,
+)
+
+from conftest import bag
+
+
+@pytest.fixture(scope="module")
+def pairs_null(spark):
+    return rows_to_df(spark, [("a", 1), ("a", 2), ("b", 3), (None, 9), ("a", None)], "k string, v int")
+
+
+def test_group_by_key_keeps_null_key_and_values(pairs_null):
+    g = group_by_key(pairs_null, "k", "v")
+    got = {r.k: (r.chunk, sorted(r["values"], key=lambda x: (x is None, x))) for r in g.collect()}
+    assert got == {"a": (0, [1, 2, None]), "b": (0, [3]), None: (0, [9])}
+
+
+def test_group_by_key_several_value_columns(spark):
+    df = rows_to_df(spark, [("x", 1, 10), ("x", 2, 20)], "k string, a bigint, b bigint")
+    r = group_by_key(df, "k", ["a", "b"], out="pairs", sort=True).first()
+    assert [tuple(p) for p in r.pairs] == [(1, 10), (2, 20)]
+
+
+def test_nested_pair_value(spark):
+    df = rows_to_df(spark, [("x", (1, 2)), ("x", (3, 4)), ("y", (5, 6))], "k string, kv struct<a: bigint, b: bigint>")
+    g = group_by_key(df, "k", "kv", sort=True)
+    got = {r.k: [tuple(x) for x in r["values"]] for r in g.collect()}
+    assert got == {"x": [(1, 2), (3, 4)], "y": [(5, 6)]}
+
+
+def test_count_by_value_struct_element_and_null(spark):
+    df = rows_to_df(spark, [("a", 1), ("a", 1), ("b", 2), (None, None)], "s string, i int")
+    assert bag(count_by_value(df)) == sorted([("a", 1, 2), ("b", 2, 1), (None, None, 1)], key=repr)
+
+
+def test_float_keys(spark):
+    df = rows_to_df(spark, [(0.0,), (-0.0,), (float("nan"),), (float("nan"),)], "k double")
+    rows = count_by_value(df).collect()
+    assert sorted(r.n for r in rows) == [2, 2]
+    assert any(math.isnan(r.k) for r in rows)
+
+
+def test_reduce_builtin_and_expression(pairs_null):
+    clean = pairs_null.where(F.col("v").isNotNull())
+    assert bag(reduce_by_key(clean, "k", "v", "max")) == bag(reduce_by_key(clean, "k", "v", lambda a, b: F.greatest(a, b)))
+
+
+def test_reduce_single_value_never_calls_f(spark):
+    df = rows_to_df(spark, [("a", 5)], "k string, v int")
+    # f would turn any pair into -1; with one value it must not be applied
+    assert bag(reduce_by_key(df, "k", "v", lambda a, b: F.lit(-1))) == [("a", 5)]
+
+
+def test_reduce_pandas_with_null_key(pairs_null):
+    clean = pairs_null.where(F.col("v").isNotNull())
+    got = bag(reduce_by_key_pandas(clean, "k", "v", lambda a, b: a + b))
+    assert got == sorted([("a", 3), ("b", 3), (None, 9)], key=repr)
+
+
+def test_reduce_unknown_builtin(pairs_null):
+    with pytest.raises(ValueError):
+        reduce_by_key(pairs_null, "k", "v", "median")
+
+
+def test_sum_optional_skips_nulls(spark):
+    df = rows_to_df(spark, [("a", 1), ("a", None), ("b", None)], "k string, v bigint")
+    assert bag(sum_by_key(df, "k", "v")) == sorted([("a", 1), ("b", None)], key=repr)
+
+
+def test_sum_map_merges_keys(spark):
+    df = rows_to_df(spark, [("a", {"x": 1, "y": 2}), ("a", {"x": 5})], "k string, m map<string,int>")
+    r = sum_by_key(df, "k", "m").first()
+    assert r.m == {"x": 6, "y": 2}
+    flat = bag(sum_by_key(df, "k", "m", flat=True))
+    assert flat == [("a", "x", 6), ("a", "y", 2)]
+
+
+def test_sum_set_union(spark):
+    df = rows_to_df(spark, [("a", ["x", "y"]), ("a", ["y", "z"])], "k string, v array<string>")
+    assert sorted(sum_by_key(df, "k", "v", semigroup="set").first().v) == ["x", "y", "z"]
+
+
+def test_sum_list_concatenates(spark):
+    df = rows_to_df(spark, [("a", [1, 2]), ("a", [2])], "k string, v array<int>")
+    r = sum_by_key(df, "k", "v").first()
+    assert sorted(r.v) == [1, 2, 2] and r.chunk == 0
+
+
+def test_sum_struct_fieldwise_nested(spark):
+    df = rows_to_df(
+        spark,
+        [("a", (1, (2.5, 3))), ("a", (4, (0.5, 1)))],
+        "k string, v struct<x: int, inner: struct<p: double, q: bigint>>",
+    )
+    r = sum_by_key(df, "k", "v").first()
+    assert r.v.x == 5 and r.v.inner.p == 3.0 and r.v.inner.q == 4
+
+
+def test_sum_decimal_widens(spark):
+    df = rows_to_df(spark, [("a", "1.10"), ("a", "2.25")], "k string, v string").select(
+        "k", F.col("v").cast("decimal(18,2)").alias("v")
+    )
+    res = sum_by_key(df, "k", "v")
+    assert res.schema["v"].dataType.simpleString() == "decimal(28,2)"
+    assert str(res.first().v) == "3.35"
+
+
+def test_sum_max_min(spark):
+    df = rows_to_df(spark, [("a", 3), ("a", 7), ("b", 1)], "k string, v int")
+    assert bag(sum_by_key(df, "k", "v", semigroup="max")) == [("a", 7), ("b", 1)]
+    assert bag(sum_by_key(df, "k", "v", semigroup="min")) == [("a", 3), ("b", 1)]
+
+
+def test_sum_overflow_raises(spark):
+    df = rows_to_df(spark, [("a", 9223372036854775807), ("a", 1)], "k string, v bigint")
+    with pytest.raises(ArithmeticException):
+        sum_by_key(df, "k", "v").collect()
+
+
+def test_sum_refuses_strings(spark):
+    df = rows_to_df(spark, [("a", "x")], "k string, v string")
+    with pytest.raises(TypeError):
+        sum_by_key(df, "k", "v")
