@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import functions as F
 
 from pairflow.operators.skew import DEFAULT_MAX_GROUP_ROWS, as_list, assign_chunks
@@ -81,28 +82,30 @@ def cogroup_apply(
 ) -> DataFrame:
     """Run user code over each cogroup row: ``fn(key, vs, ws)`` yields output rows.
 
-    Rows arrive as Arrow batches in ``mapInPandas``.  A key split into chunks
-    is seen once per chunk with that chunk's share of both lists, so ``fn``
-    must be chunk-wise (per-value work, counts to be summed afterwards).
-    A per-key product of both lists is ``join``, not this.
+    Rows arrive as Arrow record batches in ``mapInArrow`` and reach ``fn`` as
+    plain Python values.  A key split into chunks is seen once per chunk
+    with that chunk's share of both lists, so ``fn`` must be chunk-wise
+    (per-value work, counts to be summed afterwards).  A per-key product of
+    both lists is ``join``, not this.
     """
     keys = as_list(keys)
     a, b = lists
-    out_cols = [f.name for f in _struct(schema).fields]
+    out_schema = _struct(schema)
+    arrow_schema = to_arrow_schema(out_schema)
+    nk = len(keys)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [batch.column(i).to_pylist() for i in range(nk + 2)]
             rows = []
-            for rec in pdf.itertuples(index=False):
-                d = rec._asdict()
-                key = tuple(d[k] for k in keys)
-                vs = list(d[a]) if d[a] is not None else []
-                ws = list(d[b]) if d[b] is not None else []
-                rows.extend(fn(key, vs, ws))
+            for rec in zip(*cols):
+                rows.extend(fn(tuple(rec[:nk]), rec[nk] or [], rec[nk + 1] or []))
             if rows:
-                yield pd.DataFrame.from_records(rows, columns=out_cols)
+                yield pa.RecordBatch.from_pylist(
+                    [dict(zip(arrow_schema.names, r)) for r in rows], schema=arrow_schema
+                )
 
-    return cogrouped.select(*keys, a, b).mapInPandas(run, schema)
+    return cogrouped.select(*keys, a, b).mapInArrow(run, out_schema)
 
 
 def _field(name: str):

@@ -8,13 +8,15 @@ found first and their rows spread over ``ceil(n / max_rows)`` chunks:
 
 1. count rows per key (partial aggregation, output = distinct keys) and
    keep keys with more than ``max_rows`` rows.  There are at most
-   ``N / max_rows`` of them; the small result is checkpointed into
-   ``spark.checkpoint.dir`` so later jobs do not recompute it;
+   ``N / max_rows`` of them.  One job fetches at most
+   ``BROADCAST_KEYS_LIMIT + 1`` of these rows, the bounded size check;
 2. no hot key: the caller's plan stays a plain one-exchange aggregate;
-3. otherwise every row gets ``chunk = pmod(seed, parts)`` for hot keys and
-   0 for the rest.  The hot-key table is broadcast only after its row
-   count was checked against ``BROADCAST_KEYS_LIMIT``; above it a shuffle
-   join is used.
+3. up to the limit: the fetched keys become a small local relation that is
+   broadcast-joined onto the rows (a bounded build side, like any
+   broadcast); every row gets ``chunk = pmod(seed, parts)`` for hot keys
+   and 0 for the rest;
+4. above the limit: the hot-key table is checkpointed into
+   ``spark.checkpoint.dir`` and joined with a shuffle join instead.
 
 The seed hashes the input partition id with the row's content, so a
 re-run task after an executor loss puts every row in the same chunk as
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from pairflow.session import ensure_checkpoint_dir
 
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
-BROADCAST_KEYS_LIMIT = 500_000
+BROADCAST_KEYS_LIMIT = 100_000
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -48,26 +50,38 @@ def materialize(df: DataFrame) -> DataFrame:
     return df
 
 
-def hot_keys(df: DataFrame, keys: list[str], max_rows: int) -> tuple[DataFrame, int]:
-    """Keys with more than ``max_rows`` rows, renamed ``_hk<i>``, with ``_parts``."""
+def _hot_key_table(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > max_rows).select(
+    return counts.where(F.col("_n") > max_rows).select(
         *[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
         F.ceil(F.col("_n") / F.lit(max_rows)).cast("int").alias("_parts"),
     )
-    hot = materialize(hot)
-    return hot, hot.count()
+
+
+def hot_keys(df: DataFrame, keys: list[str], max_rows: int) -> tuple[DataFrame | None, int, bool]:
+    """(table of ``_hk<i>, _parts``, number of hot keys, broadcastable).
+
+    The number is exact up to ``BROADCAST_KEYS_LIMIT``; above it the
+    function reports ``limit + 1`` and a checkpointed table.
+    """
+    hot = _hot_key_table(df, keys, max_rows)
+    rows = hot.limit(BROADCAST_KEYS_LIMIT + 1).collect()
+    if not rows:
+        return None, 0, True
+    if len(rows) <= BROADCAST_KEYS_LIMIT:
+        return df.sparkSession.createDataFrame(rows, schema=hot.schema), len(rows), True
+    return materialize(hot), len(rows), False
 
 
 def assign_chunks(df: DataFrame, keys: list[str], max_rows: int, salt_cols: list[str]) -> tuple[DataFrame, bool]:
     """Add an int ``chunk`` column when hot keys exist; returns (df, split)."""
     if max_rows is None or max_rows <= 0:
         raise ValueError("max_rows must be a positive row count")
-    hot, n_hot = hot_keys(df, keys, max_rows)
+    hot, n_hot, small = hot_keys(df, keys, max_rows)
     if n_hot == 0:
         return df, False
     seeded = df.withColumn("_seed", F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in salt_cols]))
-    side = F.broadcast(hot) if n_hot <= BROADCAST_KEYS_LIMIT else hot
+    side = F.broadcast(hot) if small else hot
     cond = [seeded[k].eqNullSafe(side[f"_hk{i}"]) for i, k in enumerate(keys)]
     joined = seeded.join(side, on=cond, how="left")
     chunk = F.coalesce(F.pmod(F.col("_seed"), F.col("_parts")), F.lit(0)).cast("int")
