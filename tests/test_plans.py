@@ -41,3 +41,38 @@ def test_filter_and_columns_reach_the_scan(spark):
     assert any("l_quantity" in p for p in pushed_filters(df))
     schema = read_schemas(df)[0]
     assert "l_extendedprice" not in schema and "l_linenumber" in schema
+
+
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def _final_plan_has_skew_split(df):
+    df.collect()  # runs this DataFrame's own query, so explain shows AQE's final plan
+    from pairflow.plans import plan_text
+
+    return "skew=true" in plan_text(df)
+
+
+def test_full_join_is_split_for_a_hot_key_where_native_is_not(spark):
+    saved = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    try:
+        for k, v in SKEW_CONF.items():
+            spark.conf.set(k, v)
+        hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000)
+        left = spark.range(0, 300_000).select(hot.alias("k"), F.col("id").alias("v"))
+        right = spark.range(0, 20_000).select((F.col("id") % 1200).alias("k"), F.col("id").alias("w"))
+        assert not _final_plan_has_skew_split(left.join(right, "k", "full"))
+        assert _final_plan_has_skew_split(join(left, right, "k", "full"))
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -1,0 +1,44 @@
+import pandas as pd
+from pyspark.sql import functions as F
+
+from pairflow import (
+    apply_transform,
+    filter_rows,
+    flat_map,
+    flat_map_pandas,
+    map_pandas,
+    map_rows,
+    pair_with,
+    rows_to_df,
+)
+
+from conftest import bag
+
+
+def test_flat_map_zero_to_many(spark):
+    df = rows_to_df(spark, [(0,), (2,), (3,)], "n int")
+    out = flat_map(df, F.sequence(F.lit(1), F.col("n")), out="i", keep=("n",))
+    # n = 0 gives sequence(1, 0) = [1, 0] in Spark; keep only positive ranges
+    out = filter_rows(out, F.col("i") >= 1)
+    assert bag(out.where("n > 0")) == [(2, 1), (2, 2), (3, 1), (3, 2), (3, 3)]
+
+
+def test_flat_map_pandas_keeps_duplicates_and_drops_empty(spark):
+    df = rows_to_df(spark, [("a a",), ("",), ("b",)], "s string")
+
+    def split(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"w": [w for s in pdf["s"] for w in s.split()]})
+
+    assert bag(flat_map_pandas(df, split, "w string")) == [("a",), ("a",), ("b",)]
+
+
+def test_map_rows_and_map_pandas(spark):
+    df = rows_to_df(spark, [(1,), (2,)], "x bigint")
+    doubled = map_rows(df, map_pandas(F.col("x"), lambda s: s * 2, "bigint").alias("y"))
+    assert bag(doubled) == [(2,), (4,)]
+
+
+def test_apply_transform_chains(spark):
+    df = rows_to_df(spark, [("a",), ("b",)], "w string")
+    out = apply_transform(df, lambda d: pair_with(d, "w", 1, "one"))
+    assert out.columns == ["w", "one"] and out.schema["one"].dataType.simpleString() == "bigint"

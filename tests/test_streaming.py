@@ -18,3 +18,19 @@ def test_streaming_word_count_equals_batch(spark):
     q.awaitTermination(120)
     got = spark.sql("select word, n from stream_wc")
     assert bag(got) == bag(count_by_value(words(docs, "text"), ["word"]))
+
+
+def test_streaming_sum_by_key_update_mode(spark):
+    from pyspark.sql import functions as F
+
+    from pairflow import sum_by_key
+
+    ev = table(spark, SF_SMALL, "events").select("user_id", "event_type")
+    folder = tempfile.mkdtemp(prefix="pairflow-stream-")
+    ev.write.mode("append").parquet(folder)
+    stream = read_parquet_stream(spark, folder, ev.schema)
+    ones = stream.select("user_id", F.lit(1).cast("bigint").alias("one"))
+    q = start_to_memory(sum_by_key(ones, "user_id", "one", out="n"), "stream_sums", output_mode="update")
+    q.awaitTermination(120)
+    got = spark.sql("select user_id, n from stream_sums")
+    assert bag(got) == bag(ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")))
