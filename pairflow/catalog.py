@@ -19,14 +19,17 @@ from pyspark.sql import functions as F
 
 from pairflow.functions import WORD_DELIMITER, format_row, tokens, words
 from pairflow.operators import (
+    apply_transform,
     cogroup,
     cogroup_apply,
+    cogroup_many,
     count_by_value,
     flat_map_pandas,
     group_by_key,
     group_then_fold,
     join,
     key_value,
+    map_pandas,
     map_partitions,
     multiset_diff,
     pair_with,
@@ -147,6 +150,29 @@ def q_wordcount_sum(spark, d):
     return sum_by_key(pairs, "word", "one", out="n")
 
 
+def _tokenise(df: DataFrame) -> DataFrame:
+    return words(df, "text", "word")
+
+
+def _count_words(df: DataFrame) -> DataFrame:
+    return count_by_value(df, ["word"], "n")
+
+
+def q_wordcount_transform_chain(spark, d):
+    """applyTransform: the word count as a chain of reusable steps."""
+    return apply_transform(apply_transform(documents(spark, d), _tokenise), _count_words)
+
+
+def _py_lengths(s: pd.Series) -> pd.Series:
+    return s.str.len().astype("int64")
+
+
+def q_word_lengths_pandas(spark, d):
+    """Opaque Python map (pandas UDF on Arrow batches), then count by value."""
+    lengths = doc_words(spark, d).select(map_pandas(F.col("word"), _py_lengths, "bigint").alias("len"))
+    return count_by_value(lengths, ["len"], "n")
+
+
 # ---------------------------------------------------------------- A2 A4
 
 def q_group_by_key(spark, d):
@@ -249,6 +275,22 @@ def q_cogroup_words(spark, d):
     return cogroup(doc_word_counts_table(spark, d), bench_words(spark, d), "word", "n", "item_id", sort=True)
 
 
+def conv_words(spark: SparkSession, d: str) -> DataFrame:
+    """(word, conv_id): each conversation once per word it contains."""
+    conv = spread(table(spark, d, "conversations").select("conv_id", "text"), "conv_id")
+    return words(conv, "text", "word", ("conv_id",)).distinct()
+
+
+def q_cogroup_three_words(spark, d):
+    """n-way cogroup: documents' word counts, benchmark items and conversations per word."""
+    return cogroup_many(
+        [(doc_word_counts_table(spark, d), "n"), (bench_words(spark, d), "item_id"), (conv_words(spark, d), "conv_id")],
+        "word",
+        ["vs", "ws", "zs"],
+        sort=True,
+    )
+
+
 def _chunk_summary(key, vs, ws):
     yield (key[0], int(sum(vs)), len(ws))
 
@@ -298,6 +340,8 @@ QUERIES: dict[str, Query] = {
     "count_by_value_words": q_count_by_value_words,
     "format_counts": q_format_counts,
     "count_by_value_cols": q_count_by_value_cols,
+    "wordcount_transform_chain": q_wordcount_transform_chain,
+    "word_lengths_pandas": q_word_lengths_pandas,
     "wordcount_group_fold": q_wordcount_group_fold,
     "wordcount_reduce": q_wordcount_reduce,
     "wordcount_sum": q_wordcount_sum,
@@ -317,6 +361,7 @@ QUERIES: dict[str, Query] = {
     "group_nested_pair": q_group_nested_pair,
     "cogroup_words": q_cogroup_words,
     "cogroup_apply_words": q_cogroup_apply_words,
+    "cogroup_three_words": q_cogroup_three_words,
     "join_inner_words": _join("inner"),
     "join_left_words": _join("left"),
     "join_right_words": _join("right"),
@@ -333,6 +378,7 @@ _TOK = "unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+'))"
 DOC_WORDS = f"(select * from (select doc_id, lang, {_TOK} as word from documents) where word <> '')"
 WORD_COUNTS = f"(select word, count(*)::bigint as n from {DOC_WORDS} group by word)"
 BENCH_WORDS = f"(select distinct item_id, word from (select item_id, {_TOK} as word from benchmark) where word <> '')"
+CONV_WORDS = f"(select distinct conv_id, word from (select conv_id, {_TOK} as word from conversations) where word <> '')"
 
 ORACLE: dict[str, str] = {
     "flat_map_tokens": f"""
@@ -345,6 +391,16 @@ ORACLE: dict[str, str] = {
         from {DOC_WORDS} group by doc_id""",
     "count_by_value_words": f"select word, n from {WORD_COUNTS}",
     "format_counts": f"select word || ' ' || cast(n as varchar) as s from {WORD_COUNTS}",
+    "word_lengths_pandas": f"select length(word)::bigint as len, count(*)::bigint as n from {DOC_WORDS} group by 1",
+    "cogroup_three_words": f"""
+        select word, 0 as chunk,
+               coalesce(list(n order by n) filter (where t = 0), []) as vs,
+               coalesce(list(item_id order by item_id) filter (where t = 1), []) as ws,
+               coalesce(list(conv_id order by conv_id) filter (where t = 2), []) as zs
+        from (select word, n, null::bigint as item_id, null::bigint as conv_id, 0 as t from {WORD_COUNTS}
+              union all select word, null, item_id, null, 1 from {BENCH_WORDS}
+              union all select word, null, null, conv_id, 2 from {CONV_WORDS})
+        group by word""",
     "count_by_value_cols": """
         select c_mktsegment, c_nationkey, count(*)::bigint as n from customer group by 1, 2""",
     "group_by_key": """
@@ -421,5 +477,6 @@ for _alias, _same in {
     "wordcount_group_fold": "count_by_value_words",
     "wordcount_reduce": "count_by_value_words",
     "wordcount_sum": "count_by_value_words",
+    "wordcount_transform_chain": "count_by_value_words",
 }.items():
     ORACLE[_alias] = ORACLE[_same]
