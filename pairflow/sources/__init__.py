@@ -29,17 +29,26 @@ def register_views(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABL
         table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
+# Inputs up to this size may be spread over every core before CPU-heavy
+# per-row work; larger inputs have enough splits of their own.
+SPREAD_MAX_BYTES = 1 << 30
+
+
 def spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Hash-repartition an input that has fewer splits than the session has cores.
+    """Hash-repartition a small input that has fewer splits than the session has cores.
 
     Parquet splits by row group: a small table written as one row group is
     one task, and CPU-heavy per-row work (tokenising text) then runs on one
-    core.  Such an input is at most ``cores x maxPartitionBytes``, so the
-    extra exchange is bounded; an input with enough splits (any large one)
-    is returned unchanged and pays nothing.  Hashing on ``cols`` keeps the
-    placement deterministic when a task is re-run.
+    core.  Only an input whose estimated size (Catalyst's statistics, which
+    follow the file sizes) is at most ``SPREAD_MAX_BYTES`` is spread, so the
+    extra exchange is bounded; a large input keeps its own splits and pays
+    nothing.  Hashing on ``cols`` keeps the placement deterministic when a
+    task is re-run.
     """
+    from pairflow.plans import estimated_size_bytes
+
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    size = estimated_size_bytes(df)
+    if size is None or size > SPREAD_MAX_BYTES or df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *cols) if cols else df.repartition(cores)

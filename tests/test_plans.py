@@ -76,3 +76,12 @@ def test_full_join_is_split_for_a_hot_key_where_native_is_not(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_spread_only_small_inputs(spark, monkeypatch):
+    import pairflow.sources as src
+
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    assert any("REPARTITION_BY_NUM" in e for e in exchanges(src.spread(docs, "doc_id")))
+    monkeypatch.setattr(src, "SPREAD_MAX_BYTES", 1024)
+    assert exchanges(src.spread(docs, "doc_id")) == []
