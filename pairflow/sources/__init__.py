@@ -18,10 +18,21 @@ def rows_to_df(spark: SparkSession, rows: Iterable, schema: StructType | str) ->
     return spark.createDataFrame(list(rows), schema=schema)
 
 
+# Schemas learned from each table's Parquet footer once per process; later
+# reads declare them, which skips the schema-inference job of every read.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a scale-factor folder; column pruning and
     filter pushdown reach the scan because nothing is read eagerly."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def register_views(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABLES) -> None:
