@@ -104,8 +104,13 @@ def sum_by_key(
         )
 
     if isinstance(dt, ArrayType):
-        elems = df.select(*keys, F.explode(v).alias("_e"))
-        return group_by_key(elems, keys, "_e", out=out, max_rows=max_rows)
+        # posexplode_outer keeps keys whose arrays are all empty (or null): their
+        # placeholder row has a null position and is dropped from the list, while
+        # null elements of real arrays are kept.
+        elems = df.select(*keys, F.posexplode_outer(v).alias("_p", "_e"))
+        g = group_by_key(elems, keys, ["_p", "_e"], out=out, max_rows=max_rows)
+        kept = F.transform(F.filter(F.col(out), lambda x: x["_p"].isNotNull()), lambda x: x["_e"])
+        return g.select(*keys, "chunk", kept.alias(out))
 
     if isinstance(dt, (StringType, BooleanType)):
         raise TypeError(f"sum_by_key: {dt.simpleString()} has no commutative plus; use reduce_by_key")

@@ -135,3 +135,9 @@ def test_sum_refuses_strings(spark):
     df = rows_to_df(spark, [("a", "x")], "k string, v string")
     with pytest.raises(TypeError):
         sum_by_key(df, "k", "v")
+
+
+def test_sum_list_keeps_keys_with_only_empty_lists_and_null_elements(spark):
+    df = rows_to_df(spark, [("a", []), ("a", None), ("b", [1, None]), ("b", [])], "k string, v array<int>")
+    got = {r.k: sorted(r.v, key=lambda x: (x is None, x)) for r in sum_by_key(df, "k", "v").collect()}
+    assert got == {"a": [], "b": [1, None]}
