@@ -19,14 +19,20 @@ def flat_map(df: DataFrame, expr: Column, out: str = "value", keep: tuple[str, .
     return df.select(*keep, F.explode(expr).alias(out))
 
 
+# Input rows handed to an opaque flatMap function at a time: a row may fan
+# out into thousands of rows, so the output of one call stays bounded.
+FLAT_MAP_SLICE_ROWS = 1024
+
+
 def flat_map_pandas(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema) -> DataFrame:
-    """Opaque Python flatMap: ``fn`` maps one Arrow batch to 0..n rows per input row."""
+    """Opaque Python flatMap: ``fn`` maps a slice of an Arrow batch to 0..n rows per input row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = fn(pdf)
-            if out is not None and len(out):
-                yield out
+            for start in range(0, len(pdf), FLAT_MAP_SLICE_ROWS):
+                out = fn(pdf.iloc[start : start + FLAT_MAP_SLICE_ROWS])
+                if out is not None and len(out):
+                    yield out
 
     return df.mapInPandas(run, schema)
 
