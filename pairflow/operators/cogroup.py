@@ -45,7 +45,8 @@ def cogroup_many(
         ]
         part = s.select(*cols)
         union = part if union is None else union.unionByName(part)
-    chunked, split = assign_chunks(union, keys, max_rows, tags)
+    chunked, max_parts = assign_chunks(union, keys, max_rows, tags)
+    split = max_parts > 1
     group_cols = keys + (["chunk"] if split else [])
     grouped = chunked.groupBy(*group_cols).agg(*[F.collect_list(t).alias(t) for t in tags])
     lists = []

@@ -31,12 +31,14 @@ BUILTIN_REDUCERS = {
 }
 
 
-def _gather(df: DataFrame, keys: list[str], values: list[str], max_rows: int) -> tuple[DataFrame, bool]:
-    """(keys, [chunk,] _vs): each value wrapped in a struct so nulls survive collect_list."""
+def _gather(df: DataFrame, keys: list[str], values: list[str], max_rows: int) -> tuple[DataFrame, int]:
+    """(keys, [chunk,] _vs) and the largest chunk count of a key (1 = no split).
+
+    Each value is wrapped in a struct so nulls survive collect_list."""
     base = df.select(*keys, F.struct(*values).alias("_v"))
-    chunked, split = assign_chunks(base, keys, max_rows, ["_v"])
-    group_cols = keys + (["chunk"] if split else [])
-    return chunked.groupBy(*group_cols).agg(F.collect_list("_v").alias("_vs")), split
+    chunked, max_parts = assign_chunks(base, keys, max_rows, ["_v"])
+    group_cols = keys + (["chunk"] if max_parts > 1 else [])
+    return chunked.groupBy(*group_cols).agg(F.collect_list("_v").alias("_vs")), max_parts
 
 
 def _unwrap(values: list[str]) -> Column:
@@ -62,30 +64,40 @@ def group_by_key(
     key is one row with ``chunk = 0``.  ``sort`` orders each list.
     """
     keys, values = as_list(keys), as_list(values)
-    grouped, split = _gather(df, keys, values, max_rows)
+    grouped, max_parts = _gather(df, keys, values, max_rows)
     vals = _unwrap(values)
     if sort:
         vals = F.sort_array(vals)
-    chunk = F.col("chunk") if split else F.lit(0)
+    chunk = F.col("chunk") if max_parts > 1 else F.lit(0)
     return grouped.select(*keys, chunk.alias("chunk"), vals.alias(out))
 
 
 def _two_level(
     grouped: DataFrame,
     keys: list[str],
-    split: bool,
+    max_parts: int,
     values: list[str],
     per_row: Callable[[Column], Column],
     merge: Callable[[Column], Column],
     out: str,
+    max_rows: int,
 ) -> DataFrame:
     """Apply ``per_row`` to each gathered list; merge the chunks of split keys.
 
     The unwrapped list is projected once so the reduction does not rebuild it
-    for every reference."""
-    lists = grouped.select(*keys, _unwrap(values).alias("_xs"))
-    partial = lists.select(*keys, per_row(F.col("_xs")).alias(out))
-    if not split:
+    for every reference.  Chunk results are merged in a tree whose fan-in is
+    at most ``max_rows``: a key split into more chunks than that is merged
+    over ``chunk // max_rows`` first, so no merge list exceeds the bound.
+    """
+    lists = grouped.select(*keys, *(["chunk"] if max_parts > 1 else []), _unwrap(values).alias("_xs"))
+    partial = lists.select(*keys, *(["chunk"] if max_parts > 1 else []), per_row(F.col("_xs")).alias(out))
+    parts = max_parts
+    while parts > max_rows:
+        partial = partial.groupBy(*keys, (F.col("chunk") / max_rows).cast("int").alias("chunk")).agg(
+            merge(F.collect_list(out)).alias(out)
+        )
+        parts = -(-parts // max_rows)
+    if max_parts == 1:
         return partial
     return partial.groupBy(*keys).agg(merge(F.collect_list(out)).alias(out))
 
@@ -105,9 +117,9 @@ def group_then_fold(
     of a hot key are folded separately and their results folded again.
     """
     keys = as_list(keys)
-    grouped, split = _gather(df, keys, [value], max_rows)
+    grouped, max_parts = _gather(df, keys, [value], max_rows)
     fold = lambda xs: F.aggregate(xs, zero, op)
-    return _two_level(grouped, keys, split, [value], fold, fold, out)
+    return _two_level(grouped, keys, max_parts, [value], fold, fold, out, max_rows)
 
 
 def _reduce_list(xs: Column, f: Callable[[Column, Column], Column]) -> Column:
@@ -139,9 +151,9 @@ def reduce_by_key(
         if f not in BUILTIN_REDUCERS:
             raise ValueError(f"unknown built-in reducer {f!r}; known: {sorted(BUILTIN_REDUCERS)}")
         return df.groupBy(*keys).agg(BUILTIN_REDUCERS[f](F.col(value)).alias(out))
-    grouped, split = _gather(df, keys, [value], max_rows)
+    grouped, max_parts = _gather(df, keys, [value], max_rows)
     red = lambda xs: _reduce_list(xs, f)
-    return _two_level(grouped, keys, split, [value], red, red, out)
+    return _two_level(grouped, keys, max_parts, [value], red, red, out, max_rows)
 
 
 # Number of distinct keys a map task folds before it flushes its partial results.

@@ -58,35 +58,48 @@ def _hot_key_table(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
     )
 
 
-def hot_keys(df: DataFrame, keys: list[str], max_rows: int) -> tuple[DataFrame | None, int, bool]:
-    """(table of ``_hk<i>, _parts``, number of hot keys, broadcastable).
+class HotKeys:
+    """Result of the hot-key check: the table (``_hk<i>, _parts``), how many
+    keys it holds (exact up to ``BROADCAST_KEYS_LIMIT``, else ``limit + 1``),
+    whether it may be broadcast, and the largest number of chunks of a key."""
 
-    The number is exact up to ``BROADCAST_KEYS_LIMIT``; above it the
-    function reports ``limit + 1`` and a checkpointed table.
-    """
+    def __init__(self, table: DataFrame | None, count: int, small: bool, max_parts: int):
+        self.table, self.count, self.small, self.max_parts = table, count, small, max_parts
+
+
+def hot_keys(df: DataFrame, keys: list[str], max_rows: int) -> HotKeys:
     hot = _hot_key_table(df, keys, max_rows)
     rows = hot.limit(BROADCAST_KEYS_LIMIT + 1).collect()
     if not rows:
-        return None, 0, True
+        return HotKeys(None, 0, True, 1)
     if len(rows) <= BROADCAST_KEYS_LIMIT:
-        return df.sparkSession.createDataFrame(rows, schema=hot.schema), len(rows), True
-    return materialize(hot), len(rows), False
+        table = df.sparkSession.createDataFrame(rows, schema=hot.schema)
+        return HotKeys(table, len(rows), True, max(r["_parts"] for r in rows))
+    table = materialize(hot)
+    max_parts = table.agg(F.max("_parts")).first()[0]
+    return HotKeys(table, len(rows), False, max_parts)
 
 
-def assign_chunks(df: DataFrame, keys: list[str], max_rows: int, salt_cols: list[str]) -> tuple[DataFrame, bool]:
-    """Add an int ``chunk`` column when hot keys exist; returns (df, split)."""
+def assign_chunks(df: DataFrame, keys: list[str], max_rows: int, salt_cols: list[str]) -> tuple[DataFrame, int]:
+    """Add an int ``chunk`` column when hot keys exist.
+
+    Returns (df, max_parts): ``max_parts`` is 1 when no key is hot (then the
+    DataFrame is unchanged and has no ``chunk`` column), else the largest
+    number of chunks any key was split into.
+    """
     if max_rows is None or max_rows <= 0:
         raise ValueError("max_rows must be a positive row count")
-    hot, n_hot, small = hot_keys(df, keys, max_rows)
+    found = hot_keys(df, keys, max_rows)
+    hot, n_hot, small = found.table, found.count, found.small
     if n_hot == 0:
-        return df, False
+        return df, 1
     seeded = df.withColumn("_seed", F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in salt_cols]))
     side = F.broadcast(hot) if small else hot
     cond = [seeded[k].eqNullSafe(side[f"_hk{i}"]) for i, k in enumerate(keys)]
     joined = seeded.join(side, on=cond, how="left")
     chunk = F.coalesce(F.pmod(F.col("_seed"), F.col("_parts")), F.lit(0)).cast("int")
     drop = ["_seed", "_parts"] + [f"_hk{i}" for i in range(len(keys))]
-    return joined.withColumn("chunk", chunk).drop(*drop), True
+    return joined.withColumn("chunk", chunk).drop(*drop), found.max_parts
 
 
 def as_list(x) -> list[str]:

@@ -61,3 +61,11 @@ def test_cogroup_split_keeps_both_sides(spark, skewed):
     assert sorted(w for r in hot for w in r.ws) == ["x", "y"]
     solo = cg.where("k = 'solo'").first()
     assert solo.vs == [] and solo.ws == ["w"]
+
+
+def test_tree_merge_when_chunks_exceed_the_bound(skewed):
+    # max_rows=20 splits the hot key into 150 chunks (> 20), so the chunk
+    # results are merged over two levels; the answer must not change.
+    assert bag(reduce_by_key(skewed, "k", "v", lambda a, b: a + b, max_rows=20)) == bag(
+        reduce_by_key(skewed, "k", "v", "sum")
+    )
