@@ -102,8 +102,9 @@ def cogroup_apply(
             for rec in zip(*cols):
                 rows.extend(fn(tuple(rec[:nk]), rec[nk] or [], rec[nk + 1] or []))
             if rows:
-                yield pa.RecordBatch.from_pylist(
-                    [dict(zip(arrow_schema.names, r)) for r in rows], schema=arrow_schema
+                columns = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow_schema)], schema=arrow_schema
                 )
 
     return cogrouped.select(*keys, a, b).mapInArrow(run, out_schema)
