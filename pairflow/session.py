@@ -36,6 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", os.environ.get("PAIRFLOW_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
