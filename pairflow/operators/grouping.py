@@ -86,17 +86,18 @@ def _two_level(
 
     The unwrapped list is projected once so the reduction does not rebuild it
     for every reference.  Chunk results are merged in a tree whose fan-in is
-    at most ``max_rows``: a key split into more chunks than that is merged
-    over ``chunk // max_rows`` first, so no merge list exceeds the bound.
+    ``max(2, max_rows)``: a key split into more chunks than that is merged
+    over ``chunk // fan_in`` first, so no merge list exceeds the bound.
     """
     lists = grouped.select(*keys, *(["chunk"] if max_parts > 1 else []), _unwrap(values).alias("_xs"))
     partial = lists.select(*keys, *(["chunk"] if max_parts > 1 else []), per_row(F.col("_xs")).alias(out))
+    fan_in = max(2, max_rows)
     parts = max_parts
-    while parts > max_rows:
-        partial = partial.groupBy(*keys, (F.col("chunk") / max_rows).cast("int").alias("chunk")).agg(
+    while parts > fan_in:
+        partial = partial.groupBy(*keys, (F.col("chunk") / fan_in).cast("int").alias("chunk")).agg(
             merge(F.collect_list(out)).alias(out)
         )
-        parts = -(-parts // max_rows)
+        parts = -(-parts // fan_in)
     if max_parts == 1:
         return partial
     return partial.groupBy(*keys).agg(merge(F.collect_list(out)).alias(out))

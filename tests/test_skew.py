@@ -69,3 +69,8 @@ def test_tree_merge_when_chunks_exceed_the_bound(skewed):
     assert bag(reduce_by_key(skewed, "k", "v", lambda a, b: a + b, max_rows=20)) == bag(
         reduce_by_key(skewed, "k", "v", "sum")
     )
+
+
+def test_tree_merge_terminates_with_bound_one(spark):
+    df = rows_to_df(spark, [("a", i) for i in range(9)] + [("b", 1)], "k string, v bigint")
+    assert bag(reduce_by_key(df, "k", "v", lambda a, b: a + b, max_rows=1)) == [("a", 36), ("b", 1)]
