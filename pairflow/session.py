@@ -27,6 +27,25 @@ SCALE_CONF = {
 }
 
 
+# Settings for a large cluster (on top of SCALE_CONF), applied by the launcher.
+# Shuffle partitions start high and AQE coalesces them to ~256 MB each;
+# stragglers are re-launched; decommissioning executors hand their shuffle
+# blocks over, so losing an executor does not recompute finished map stages.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.speculation": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "pairflow") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
