@@ -31,17 +31,26 @@ BUILTIN_REDUCERS = {
 }
 
 
+def _bare(df: DataFrame, values: list[str]) -> bool:
+    """One value column that cannot hold nulls needs no struct wrapper."""
+    return len(values) == 1 and not df.schema[values[0]].nullable
+
+
 def _gather(df: DataFrame, keys: list[str], values: list[str], max_rows: int) -> tuple[DataFrame, int]:
     """(keys, [chunk,] _vs) and the largest chunk count of a key (1 = no split).
 
-    Each value is wrapped in a struct so nulls survive collect_list."""
-    base = df.select(*keys, F.struct(*values).alias("_v"))
+    A nullable value is wrapped in a struct so its nulls survive collect_list
+    (which skips null elements); a non-nullable single column is gathered as is."""
+    wrapped = F.col(values[0]) if _bare(df, values) else F.struct(*values)
+    base = df.select(*keys, wrapped.alias("_v"))
     chunked, max_parts = assign_chunks(base, keys, max_rows, ["_v"])
     group_cols = keys + (["chunk"] if max_parts > 1 else [])
     return chunked.groupBy(*group_cols).agg(F.collect_list("_v").alias("_vs")), max_parts
 
 
-def _unwrap(values: list[str]) -> Column:
+def _unwrap(values: list[str], bare: bool = False) -> Column:
+    if bare:
+        return F.col("_vs")
     if len(values) == 1:
         return F.transform(F.col("_vs"), lambda x: x[values[0]])
     return F.col("_vs")
@@ -65,7 +74,7 @@ def group_by_key(
     """
     keys, values = as_list(keys), as_list(values)
     grouped, max_parts = _gather(df, keys, values, max_rows)
-    vals = _unwrap(values)
+    vals = _unwrap(values, _bare(df, values))
     if sort:
         vals = F.sort_array(vals)
     chunk = F.col("chunk") if max_parts > 1 else F.lit(0)
@@ -81,6 +90,7 @@ def _two_level(
     merge: Callable[[Column], Column],
     out: str,
     max_rows: int,
+    bare: bool,
 ) -> DataFrame:
     """Apply ``per_row`` to each gathered list; merge the chunks of split keys.
 
@@ -89,7 +99,7 @@ def _two_level(
     ``max(2, max_rows)``: a key split into more chunks than that is merged
     over ``chunk // fan_in`` first, so no merge list exceeds the bound.
     """
-    lists = grouped.select(*keys, *(["chunk"] if max_parts > 1 else []), _unwrap(values).alias("_xs"))
+    lists = grouped.select(*keys, *(["chunk"] if max_parts > 1 else []), _unwrap(values, bare).alias("_xs"))
     partial = lists.select(*keys, *(["chunk"] if max_parts > 1 else []), per_row(F.col("_xs")).alias(out))
     fan_in = max(2, max_rows)
     parts = max_parts
@@ -120,7 +130,7 @@ def group_then_fold(
     keys = as_list(keys)
     grouped, max_parts = _gather(df, keys, [value], max_rows)
     fold = lambda xs: F.aggregate(xs, zero, op)
-    return _two_level(grouped, keys, max_parts, [value], fold, fold, out, max_rows)
+    return _two_level(grouped, keys, max_parts, [value], fold, fold, out, max_rows, _bare(df, [value]))
 
 
 def _reduce_list(xs: Column, f: Callable[[Column, Column], Column]) -> Column:
@@ -154,7 +164,7 @@ def reduce_by_key(
         return df.groupBy(*keys).agg(BUILTIN_REDUCERS[f](F.col(value)).alias(out))
     grouped, max_parts = _gather(df, keys, [value], max_rows)
     red = lambda xs: _reduce_list(xs, f)
-    return _two_level(grouped, keys, max_parts, [value], red, red, out, max_rows)
+    return _two_level(grouped, keys, max_parts, [value], red, red, out, max_rows, _bare(df, [value]))
 
 
 # Number of distinct keys a map task folds before it flushes its partial results.
