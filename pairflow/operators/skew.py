@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from pairflow.session import ensure_checkpoint_dir
 
@@ -95,13 +96,21 @@ def assign_chunks(df: DataFrame, keys: list[str], max_rows: int, salt_cols: list
         return df, 1
     seeded = df.withColumn("_seed", F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in salt_cols]))
     side = F.broadcast(hot) if small else hot
-    cond = [seeded[k].eqNullSafe(side[f"_hk{i}"]) for i, k in enumerate(keys)]
+    cond = [
+        _joinable(seeded[k], df.schema[k].dataType).eqNullSafe(_joinable(side[f"_hk{i}"], df.schema[k].dataType))
+        for i, k in enumerate(keys)
+    ]
     joined = seeded.join(side, on=cond, how="left")
     chunk = F.coalesce(F.pmod(F.col("_seed"), F.col("_parts")), F.lit(0)).cast("int")
     drop = ["_seed", "_parts"] + [f"_hk{i}" for i in range(len(keys))]
     return joined.withColumn("chunk", chunk).drop(*drop), found.max_parts
 
 
+def _joinable(c, dtype):
+    """Maps group but cannot be join keys; their sorted entries can."""
+    return F.sort_array(F.map_entries(c)) if isinstance(dtype, MapType) else c
+
+
 def as_list(x) -> list[str]:
     if x is None:
         return []

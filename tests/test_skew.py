@@ -74,3 +74,11 @@ def test_tree_merge_when_chunks_exceed_the_bound(skewed):
 def test_tree_merge_terminates_with_bound_one(spark):
     df = rows_to_df(spark, [("a", i) for i in range(9)] + [("b", 1)], "k string, v bigint")
     assert bag(reduce_by_key(df, "k", "v", lambda a, b: a + b, max_rows=1)) == [("a", 36), ("b", 1)]
+
+
+def test_hot_map_keys_split(spark):
+    rows = [({"x": 1}, i) for i in range(40)] + [({"y": 2}, 1)]
+    df = rows_to_df(spark, rows, "k map<string,int>, v bigint")
+    g = group_by_key(df, "k", "v", max_rows=10).collect()
+    hot = [r for r in g if r.k == {"x": 1}]
+    assert len(hot) > 1 and sum(len(r["values"]) for r in hot) == 40
