@@ -82,3 +82,22 @@ def test_hot_map_keys_split(spark):
     g = group_by_key(df, "k", "v", max_rows=10).collect()
     hot = [r for r in g if r.k == {"x": 1}]
     assert len(hot) > 1 and sum(len(r["values"]) for r in hot) == 40
+
+
+def test_hot_null_key_is_split(spark):
+    rows = [(None, i) for i in range(50)] + [("a", 1)]
+    df = rows_to_df(spark, rows, "k string, v bigint")
+    g = group_by_key(df, "k", "v", max_rows=10).collect()
+    nulls = [r for r in g if r.k is None]
+    assert len(nulls) > 1 and sorted(v for r in nulls for v in r["values"]) == list(range(50))
+
+
+def test_split_plan_broadcasts_the_hot_keys(skewed):
+    from pairflow.plans import exchanges, plan_text
+
+    g = group_by_key(skewed, "k", "v", max_rows=1000)
+    text = plan_text(g)
+    assert "BroadcastHashJoin" in text and "BroadcastExchange" in text
+    # the rows are shuffled once, by (key, chunk), besides the fixture's own repartition
+    keyed = [e for e in exchanges(g) if "hashpartitioning(k" in e]
+    assert len(keyed) == 1 and "chunk" in keyed[0]

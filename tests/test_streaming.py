@@ -34,3 +34,17 @@ def test_streaming_sum_by_key_update_mode(spark):
     q.awaitTermination(120)
     got = spark.sql("select user_id, n from stream_sums")
     assert bag(got) == bag(ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")))
+
+
+def test_stream_static_join_in_append_mode(spark):
+    from pairflow import join, rows_to_df
+
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    folder = tempfile.mkdtemp(prefix="pairflow-stream-")
+    docs.write.mode("append").parquet(folder)
+    stream = words(read_parquet_stream(spark, folder, docs.schema), "text", "word", ("doc_id",))
+    meanings = rows_to_df(spark, [("the", "article"), ("and", "conjunction")], "word string, meaning string")
+    q = start_to_memory(join(stream, meanings, "word"), "stream_join", output_mode="append")
+    q.awaitTermination(120)
+    got = spark.sql("select word, doc_id, meaning from stream_join")
+    assert bag(got) == bag(join(words(docs, "text", "word", ("doc_id",)), meanings, "word"))
