@@ -55,3 +55,18 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["s"]
     assert df.count() > 0
+
+
+def test_split_path_on_real_data_matches_oracle(spark):
+    """At sf0.01 the English words exceed the per-language bound, so
+    ``reduce_expr`` runs the hot-key split and tree merge on the driver's data."""
+    from conftest import SF_ORACLE
+    from pairflow.catalog import LANG_MAX_ROWS, doc_words
+    from pairflow.operators.skew import hot_keys
+
+    assert hot_keys(doc_words(spark, SF_ORACLE, ("lang",)), ["lang"], LANG_MAX_ROWS).count >= 1
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from read_parquet('{SF_ORACLE}/documents.parquet')")
+    expected = sorted(con.sql(E.oracle_sql()["reduce_expr"]).fetchall())
+    got = sorted(tuple(r) for r in E.queries()["reduce_expr"](spark, SF_ORACLE).select("lang", "longest").collect())
+    assert got == expected
