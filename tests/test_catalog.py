@@ -70,3 +70,12 @@ def test_split_path_on_real_data_matches_oracle(spark):
     expected = sorted(con.sql(E.oracle_sql()["reduce_expr"]).fetchall())
     got = sorted(tuple(r) for r in E.queries()["reduce_expr"](spark, SF_ORACLE).select("lang", "longest").collect())
     assert got == expected
+
+
+def test_observed_query_fills_its_metrics(spark):
+    from pairflow.catalog import OBSERVATIONS
+
+    df = E.queries()["observed_word_count"](spark, SF_SMALL)
+    total = sum(r.n for r in df.collect())
+    metrics = OBSERVATIONS["observed_word_count"].get
+    assert metrics["tokens"] == total and metrics["documents"] > 0
