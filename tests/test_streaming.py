@@ -48,3 +48,16 @@ def test_stream_static_join_in_append_mode(spark):
     q.awaitTermination(120)
     got = spark.sql("select word, doc_id, meaning from stream_join")
     assert bag(got) == bag(join(words(docs, "text", "word", ("doc_id",)), meanings, "word"))
+
+
+def test_stream_to_parquet_append(spark):
+    from pairflow.streaming import start_to_parquet
+
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    src = tempfile.mkdtemp(prefix="pairflow-stream-")
+    out = tempfile.mkdtemp(prefix="pairflow-sink-")
+    docs.write.mode("append").parquet(src)
+    stream = words(read_parquet_stream(spark, src, docs.schema), "text", "word", ("doc_id",))
+    q = start_to_parquet(stream, out, "stream_sink", available_now=True)
+    q.awaitTermination(120)
+    assert bag(spark.read.parquet(out)) == bag(words(docs, "text", "word", ("doc_id",)))
