@@ -23,6 +23,10 @@ re-run task after an executor loss puts every row in the same chunk as
 before (no dependence on row order).  Identical rows of one input
 partition share a chunk, so a chunk holds at most about ``max_rows`` rows
 plus one input split's worth of repeats.
+
+Null keys are matched null-safely; map-typed keys, which Spark groups but
+refuses as join keys, are matched by their sorted entries.  Reductions over
+the chunks of a key are merged in ``grouping._two_level``.
 """
 
 from __future__ import annotations
