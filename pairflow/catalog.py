@@ -51,7 +51,8 @@ LANG_MAX_ROWS = 100_000
 # ---------------------------------------------------------------- helpers
 
 def documents(spark: SparkSession, d: str, *cols: str) -> DataFrame:
-    """The text column and ``cols`` of ``documents``, spread over every core."""
+    """The text column and ``cols`` of ``documents``; spread over every core
+    when the input is small and has fewer splits than cores (``sources.spread``)."""
     return spread(table(spark, d, "documents").select("doc_id", "text", *cols), "doc_id")
 
 
@@ -66,9 +67,10 @@ def doc_word_counts(spark: SparkSession, d: str) -> DataFrame:
 def doc_word_counts_table(spark: SparkSession, d: str) -> DataFrame:
     """Word counts written once into the checkpoint folder.
 
-    A cogroup reads its inputs twice (hot-key check, then the grouping);
-    the distinct-word table is far smaller than the text at any scale, so
-    writing it once beats tokenising every document twice."""
+    A cogroup reads its inputs twice (hot-key check, then the grouping), and
+    so does the skew-safe full join; the distinct-word table is far smaller
+    than the text at any scale, so writing it once beats tokenising every
+    document twice."""
     return materialize(doc_word_counts(spark, d))
 
 
