@@ -4,12 +4,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairflow.llm import bpe, langid, packing, simhash, wordpiece
-from pairflow.llm.base import documents, fold
+from pairflow.llm import bpe, iblt, langid, licenses, mixing, packing, search, simhash, toxicity, wordpiece
+from pairflow.llm.base import documents, fold, labels
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_bm25_top_k(spark: SparkSession, d: str) -> DataFrame:
+    """Every document whose id is divisible by 50 asks all documents."""
+    docs = documents(spark, d)
+    found = search.search(docs, docs.where("doc_id % 50 = 0"))
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
 def op2_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return wordpiece.token_counts(documents(spark, d), RANKS)
 
@@ -35,6 +42,12 @@ def op5_simhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, d)).select("doc_id", "fingerprint", "component_id")
 
 
+def op6_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    held_out = fold("doc_id", 5) == 1
+    rows = mixing.score(documents(spark, d), ~held_out, "lang")
+    return rows.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     ids = bpe.encode(F.col("text"), RANKS, public_tokenizers.PATTERN)
     rows = documents(spark, d).select("doc_id", ids.alias("ids"))
@@ -47,8 +60,41 @@ def op7_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op8_document_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return iblt.fingerprints(documents(spark, d))
+
+
+def op9_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan(documents(spark, d))
+
+
+def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = documents(spark, d)
+    model = toxicity.train(docs, labels(spark, d).where(fold("doc_id", 5) != 0))
+    found = docs.select("doc_id", toxicity.score(model, spark, F.col("text")).alias("f"))
+    found = found.select("doc_id", "f", toxicity.probability(model, F.col("f")).alias("score"))
+    return found.select(
+        "doc_id",
+        (fold("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.col("f.n_matches").alias("n_matches"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_token_counts, op3_best_fit_packing, op4_language_id, op5_simhash_near_dedup, op7_byte_bpe)
+    for f in (
+        op1_bm25_top_k,
+        op2_token_counts,
+        op3_best_fit_packing,
+        op4_language_id,
+        op5_simhash_near_dedup,
+        op6_lm_scoring,
+        op7_byte_bpe,
+        op8_document_fingerprints,
+        op9_license_scan,
+        op10_toxicity,
+    )
 }
 ORACLE: dict = {}
