@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairflow.llm.base import saved, strings
+from pairflow.llm.base import fresh, saved, strings
 from pairflow.llm.graph import components
 
 SEED = 42
@@ -88,16 +88,34 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """One row per input row: id, fp (long), fingerprint (16 hex digits),
-    component_id (the smallest id reachable)."""
+    """One row per input row: id, fp (long), fingerprint (16 hex digits), grp
+    (a fingerprint that names the component), component_id (the smallest id
+    reachable)."""
     rows = saved(docs.select(F.col(id_col).alias("_id"), fingerprint(F.col(text_col), shingle).alias("fp")))
     prints = saved(rows.groupBy("fp").agg(F.min("_id").alias("first")))
     group = components(links(prints.select("fp")))
     named = prints.join(group, prints["fp"] == group["node"], "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("group")
+        "fp", "first", F.coalesce("component", "fp").alias("grp")
     )
-    least = named.groupBy("group").agg(F.min("first").alias("component_id"))
-    named = saved(named.join(least, "group").select("fp", "component_id"))
+    least = named.groupBy("grp").agg(F.min("first").alias("component_id"))
+    named = saved(named.join(least, "grp").select("fp", "grp", "component_id"))
     return rows.join(named, "fp").select(
-        F.col("_id").alias(id_col), "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        F.col("_id").alias(id_col), "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "grp", "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, null
+    ids last, then of the smallest fingerprint; of repeated rows, any one."""
+    found = near_duplicates(docs, id_col, text_col, shingle)
+    rows = found.groupBy("grp", F.col(id_col).alias("_id"), F.col("fp").alias("_fp")).agg(F.count("*").alias("n"))
+    best = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_fp", "n")).alias("b")
+    keep = saved(rows.groupBy("grp").agg(best).select(F.col("b._id").alias("_id"), F.col("b._fp").alias("_fp"), (F.col("b.n") > 1).alias("_many")))
+    mine, many = fresh(docs, "_print"), fresh(docs, "_again")
+    keep = keep.select(F.col("_id").alias("_k_id"), F.col("_fp").alias("_k_fp"), F.col("_many").alias(many))
+    marked = docs.withColumn(mine, fingerprint(F.col(text_col), shingle))
+    kept = marked.join(keep, marked[id_col].eqNullSafe(keep["_k_id"]) & (marked[mine] == keep["_k_fp"])).drop(keep["_k_id"], keep["_k_fp"])
+    once = kept.where(~F.col(many))
+    if not keep.where(F.col(many)).isEmpty():
+        once = once.unionByName(kept.where(F.col(many)).dropDuplicates([id_col, mine]))
+    return once.drop(mine, many)
