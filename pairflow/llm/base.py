@@ -32,7 +32,7 @@ def saved(df: DataFrame) -> DataFrame:
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{folder}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -3,6 +3,8 @@
 A shard holds at most ``DOCS`` documents and about ``CHARS`` characters.  For
 each of its distinct words there is one row: the shard's documents with that
 word (numbers within the shard, ascending), how often, and their lengths.  The
+compact form has no lengths, lists documents that hold the word more than once
+first, and gives counts for those only.  The
 empty word stands for the end of the text: its row lists every document of the
 shard once, with its id.  Words are what stands between ASCII white space with
 A-Z lower-cased, as UTF-8 bytes.  Null counts as the empty text.
@@ -16,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, ShortType, StructField, StructType
 
 DOCS = 8192
 CHARS = 16_000_000
@@ -27,14 +29,14 @@ def words_of(text) -> list:
     return text.encode("utf-8", "replace").lower().split() if text else []
 
 
-def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = None, groups: int = 0) -> DataFrame:
+def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = None, groups: int = 0, compact: bool = False) -> DataFrame:
     """(shard, term, docs, tfs, lens, sums, ids, marks): ``sums[g]`` counts the
     word in documents whose ``group`` is g (-1: none); ``ids`` and ``marks``
     (the groups) are filled on the rows of the empty word only."""
     ints = ArrayType(IntegerType())
     schema = StructType(
         [StructField("shard", LongType()), StructField("term", BinaryType())]
-        + [StructField(n, ints) for n in ("docs", "tfs", "lens")]
+        + [StructField("docs", ArrayType(ShortType())), StructField("tfs", ints), StructField("lens", ints)]
         + [StructField("sums", ArrayType(LongType()))]
         + [StructField("ids", ArrayType(docs.schema[id_col].dataType)), StructField("marks", ints)]
     )
@@ -59,8 +61,14 @@ def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = No
             key = np.concatenate(tokens) * n + np.repeat(np.arange(n), lens)
             key, tf = np.unique(key, return_counts=True)
             term, doc = key // n, key % n
+            if compact:
+                by = np.argsort(term * 2 + (tf == 1), kind="stable")
+                term, doc, tf = term[by], doc[by], tf[by]
             starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
             offsets = np.r_[starts, len(term)]
+            several = np.r_[0, np.cumsum(tf > 1)][offsets] if compact else offsets
+            counts = tf[tf > 1] if compact else tf
+            known = lens[doc]
             sums = np.zeros((len(starts), groups), np.int64)
             if groups:
                 mark = marks[doc]
@@ -78,9 +86,9 @@ def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = No
                 cols = [
                     pa.array(np.full(b - a, part << 32 | number, np.int64)),
                     pa.array(words[a:b], pa.binary()),
-                    cut(doc, pa.int32()),
-                    cut(tf, pa.int32()),
-                    cut(lens[doc], pa.int32()),
+                    cut(doc, pa.int16()),
+                    lists(counts[several[a] : several[b]], several[a : b + 1] - several[a], pa.int32()),
+                    lists(lens, at[a : b + 1] - at[a], pa.int32()) if compact and a <= end < b else cut(known, pa.int32()) if not compact else lists(lens[:0], at[a : b + 1] * 0, pa.int32()),
                     lists(sums[a:b].ravel(), np.arange(b - a + 1) * groups, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(at[a : b + 1] - at[a], pa.int32()), own_ids),
                     lists(own_marks, at[a : b + 1] - at[a], pa.int32()),
