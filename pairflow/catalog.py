@@ -19,11 +19,15 @@ from pyspark.sql import functions as F
 
 from pairflow.functions import WORD_DELIMITER, format_row, tokens, words
 from pairflow.operators import (
+    Split,
     apply_transform,
     cogroup,
     cogroup_apply,
     cogroup_many,
+    cogroup_split,
     count_by_value,
+    filter_rows,
+    flat_map,
     flat_map_pandas,
     group_by_key,
     group_then_fold,
@@ -31,6 +35,7 @@ from pairflow.operators import (
     key_value,
     map_pandas,
     map_partitions,
+    map_rows,
     multiset_diff,
     observed,
     pair_with,
@@ -39,21 +44,15 @@ from pairflow.operators import (
     sum_by_key,
 )
 from pairflow.operators.skew import materialize
-from pairflow.sources import spread, table
+from pairflow.sources import rows_to_df, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Rows per gathered list before a key is split (see operators.skew); the
-# per-language reduction runs on a few huge keys, so it uses a small bound.
-LANG_MAX_ROWS = 100_000
-
-
 # ---------------------------------------------------------------- helpers
 
 def documents(spark: SparkSession, d: str, *cols: str) -> DataFrame:
-    """The text column and ``cols`` of ``documents``; spread over every core
-    when the input is small and has fewer splits than cores (``sources.spread``)."""
-    return spread(table(spark, d, "documents").select("doc_id", "text", *cols), "doc_id")
+    """The text column and ``cols`` of ``documents``."""
+    return table(spark, d, "documents").select("doc_id", "text", *cols)
 
 
 def doc_words(spark: SparkSession, d: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -67,10 +66,9 @@ def doc_word_counts(spark: SparkSession, d: str) -> DataFrame:
 def doc_word_counts_table(spark: SparkSession, d: str) -> DataFrame:
     """Word counts written once into the checkpoint folder.
 
-    A cogroup reads its inputs twice (hot-key check, then the grouping), and
-    so does the skew-safe full join; the distinct-word table is far smaller
-    than the text at any scale, so writing it once beats tokenising every
-    document twice."""
+    The skew-safe outer joins read their inputs twice or more; the table of
+    distinct words is far smaller than the text at any scale, so writing it
+    once beats tokenising every document again."""
     return materialize(doc_word_counts(spark, d))
 
 
@@ -79,8 +77,27 @@ def bench_words(spark: SparkSession, d: str) -> DataFrame:
     return words(table(spark, d, "benchmark"), "text", "word", ("item_id",)).distinct()
 
 
+# A small keyed table, with a repeated key, to join word counts with.
+MEANINGS = [("the", "der"), ("the", "die"), ("of", "von"), ("and", "und"), ("de", "of"), ("la", "the"), ("zzz", "nothing")]
+
+
+def q_join_meanings(spark, d):
+    """The reference's last program: word counts joined with an inline keyed table."""
+    meanings = rows_to_df(spark, MEANINGS, "word string, meaning string")
+    j = join(doc_word_counts(spark, d), meanings, "word")
+    return j.select(format_row("word", "n", "meaning").alias("s"))
+
+
 # ---------------------------------------------------------------- P1 F1-F3
 
+def q_map_filter_flat_map(spark, d):
+    """flatMap, filter and map one after another: long words with their initial."""
+    toks = flat_map(documents(spark, d), tokens("text"), "word", ("doc_id",))
+    long_ = filter_rows(toks, F.length("word") >= 10)
+    return count_by_value(map_rows(long_, F.substring("word", 1, 1).alias("initial"), F.length("word").alias("len")), ["initial", "len"], "n")
+
+
+
 def q_flat_map_tokens(spark, d):
     """Per-document token statistics.  A document's tokens come from one row,
     so array functions answer it inside one projection: no explode, no shuffle."""
@@ -100,12 +117,15 @@ _PY_DELIM = regex.compile(WORD_DELIMITER)
 def _py_tokens(pdf: pd.DataFrame) -> pd.DataFrame:
     ids, toks = [], []
     for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-        if text is None:
-            continue
-        for w in _PY_DELIM.split(text.lower()):
+        some = False
+        for w in _PY_DELIM.split((text or "").lower()):
             if w:
                 ids.append(doc_id)
                 toks.append(w)
+                some = True
+        if not some:  # the document has no words: one row without a word
+            ids.append(doc_id)
+            toks.append(None)
     return pd.DataFrame({"doc_id": ids, "word": toks})
 
 
@@ -119,7 +139,7 @@ def q_flat_map_pandas_tokens(spark, d):
     docs = documents(spark, d)
     w = flat_map_pandas(docs, _py_tokens, "doc_id bigint, word string")
     return w.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_tokens"), F.size(F.collect_set("word")).cast("bigint").alias("n_distinct")
+        F.count("word").alias("n_tokens"), F.size(F.collect_set("word")).cast("bigint").alias("n_distinct")
     )
 
 
@@ -129,19 +149,13 @@ def q_count_by_value_words(spark, d):
     return doc_word_counts(spark, d)
 
 
-# The last observation of each observed query, readable after its action.
-OBSERVATIONS: dict = {}
-
-
 def q_observed_word_count(spark, d):
-    """Per-step counts: the word count with the tokenising step observed
-    (rows and distinct documents); the metrics fill in during the query's
-    own action, with no extra job."""
-    w, obs = observed(
-        doc_words(spark, d, ("doc_id",)), "tokenise", tokens=F.count(F.lit(1)), documents=F.approx_count_distinct("doc_id")
-    )
-    OBSERVATIONS["observed_word_count"] = obs
-    return count_by_value(w.select("word"), ["word"], "n")
+    """Per-step counts: the word count with two steps observed.  The counts of
+    the steps fill in while the result is written; they are columns of it."""
+    docs, docs_seen = observed(documents(spark, d), "read", documents=F.count(F.lit(1)))
+    w, words_seen = observed(words(docs, "text", "word"), "tokenise", tokens=F.count(F.lit(1)))
+    counts = materialize(count_by_value(w, ["word"], "n"))
+    return counts.select("word", "n", F.lit(docs_seen.get["documents"]).alias("documents"), F.lit(words_seen.get["tokens"]).alias("tokens"))
 
 
 def q_format_counts(spark, d):
@@ -156,7 +170,7 @@ def q_count_by_value_cols(spark, d):
 
 def q_wordcount_group_fold(spark, d):
     pairs = pair_with(doc_words(spark, d), "word", 1, "one")
-    return group_then_fold(pairs, "word", "one", F.lit(0).cast("bigint"), lambda a, x: a + x, "n")
+    return group_then_fold(pairs, "word", "one", None, "sum", "n")
 
 
 def q_wordcount_reduce(spark, d):
@@ -183,7 +197,7 @@ def q_wordcount_transform_chain(spark, d):
 
 
 def _py_lengths(s: pd.Series) -> pd.Series:
-    return s.str.len().astype("int64")
+    return s.str.len().astype("Int64")
 
 
 def q_word_lengths_pandas(spark, d):
@@ -204,20 +218,42 @@ def q_reduce_max(spark, d):
     return reduce_by_key(o, "o_custkey", "o_totalprice", "max", out="max_price")
 
 
-def _longer_or_smaller(a, b):
-    la, lb = F.length(a), F.length(b)
-    return F.when(la > lb, a).when(lb > la, b).otherwise(F.least(a, b))
+def q_group_by_key_split(spark, d):
+    """The chunked layout on words, whose keys are skewed: per word the number
+    of chunks' values and that no chunk passes its bound."""
+    w = doc_words(spark, d, ("doc_id",)).groupBy("word", "doc_id").count()
+    g = group_by_key(w, "word", "doc_id", out="docs", split=Split(by=("doc_id",), max_rows=50, parts=4))
+    return g.groupBy("word").agg(F.sum(F.size("docs")).alias("n_docs"), (F.max(F.size("docs")) <= 50).alias("bounded"))
+
+
+def q_reduce_min_struct(spark, d):
+    """The longest word per language, the first of equal ones: a built-in minimum of structs."""
+    w = doc_words(spark, d, ("lang",)).select("lang", F.struct((-F.length("word")).alias("l"), "word").alias("v"))
+    return reduce_by_key(w, "lang", "v", "min").select("lang", F.col("v.word").alias("longest"))
 
 
 def q_reduce_expr(spark, d):
-    w = doc_words(spark, d, ("lang",))
-    return reduce_by_key(w, "lang", "word", _longer_or_smaller, out="longest", max_rows=LANG_MAX_ROWS)
+    """A reduction without a built-in: the longest common prefix of a customer's order priorities."""
+    o = table(spark, d, "orders").select("o_custkey", "o_orderpriority")
+
+    def prefix(a, b):
+        n = F.least(F.length(a), F.length(b))
+        same = F.filter(F.sequence(F.lit(0), n), lambda i: F.substring(a, F.lit(1), i) == F.substring(b, F.lit(1), i))
+        return F.substring(a, F.lit(1), F.array_max(same))
+
+    return reduce_by_key(o, "o_custkey", "o_orderpriority", prefix, out="prefix")
+
+
+def _gcd(a, b):
+    while b:
+        a, b = b, a % b
+    return a
 
 
 def q_reduce_opaque(spark, d):
-    # The Python combiner is CPU-bound per row, so a small single-split input is spread first.
-    li = spread(table(spark, d, "lineitem").select("l_suppkey", F.col("l_linenumber").cast("bigint").alias("v")), "l_suppkey")
-    return reduce_by_key_pandas(li, "l_suppkey", "v", lambda a, b: a + b)
+    """An opaque Python reduction: the greatest common divisor."""
+    li = table(spark, d, "lineitem").select("l_suppkey", F.col("l_partkey").cast("bigint").alias("v"))
+    return reduce_by_key_pandas(li, "l_suppkey", "v", _gcd)
 
 
 # ---------------------------------------------------------------- A5 A7 A8
@@ -254,10 +290,19 @@ def q_sum_map(spark, d):
     return sum_by_key(ev, "user_id", "m", flat=True)
 
 
+def q_sum_map_empty(spark, d):
+    """Map sums where some keys have only empty maps; they stay, with size 0."""
+    ev = table(spark, d, "events")
+    one = F.create_map("event_type", F.lit(1).cast("bigint"))
+    m = F.when(F.col("event_type") == "purchase", one).otherwise(F.create_map().cast("map<string,bigint>"))
+    s = sum_by_key(ev.select("event_id", m.alias("m")), "event_id", "m")
+    return s.select("event_id", F.size("m").alias("n_keys"), F.try_element_at("m", F.lit("purchase")).alias("n"))
+
+
 def q_sum_list(spark, d):
     ev = table(spark, d, "events").select("user_id", F.array("event_id", "event_id").alias("ids"))
     s = sum_by_key(ev, "user_id", "ids")
-    return s.select("user_id", "chunk", F.sort_array("ids").alias("ids"))
+    return s.select("user_id", F.sort_array("ids").alias("ids"))
 
 
 def q_sum_set(spark, d):
@@ -283,7 +328,6 @@ def q_group_nested_pair(spark, d):
     g = group_by_key(li, "l_orderkey", ["l_partkey", "l_suppkey"], out="pairs", sort=True)
     return g.select(
         "l_orderkey",
-        "chunk",
         F.transform("pairs", lambda p: p["l_partkey"]).alias("partkeys"),
         F.transform("pairs", lambda p: p["l_suppkey"]).alias("suppkeys"),
     )
@@ -292,40 +336,55 @@ def q_group_nested_pair(spark, d):
 # ---------------------------------------------------------------- G1-G3 J1-J4 (Q13-Q15)
 
 def q_cogroup_words(spark, d):
-    return cogroup(doc_word_counts_table(spark, d), bench_words(spark, d), "word", "n", "item_id", sort=True)
+    return cogroup(doc_word_counts(spark, d), bench_words(spark, d), "word", "n", "item_id", sort=True)
+
+
+def doc_of_words(spark: SparkSession, d: str) -> DataFrame:
+    """(word, doc_id): each document once per word it contains."""
+    return doc_words(spark, d, ("doc_id",)).distinct()
+
+
+def q_cogroup_split_words(spark, d):
+    """A cogroup whose left side is split, as a word's documents may not fit a
+    row: pairs of a word's documents and items, each met once."""
+    cg = cogroup_split(
+        doc_of_words(spark, d), bench_words(spark, d), "word", "doc_id", "item_id", Split(by=("doc_id",), max_rows=50, parts=4)
+    )
+    met = F.size("vs").cast("bigint") * F.size("ws")
+    return cg.groupBy("word").agg(F.sum(F.size("vs")).alias("n_docs"), F.max(F.size("ws")).cast("bigint").alias("n_items"), F.sum(met).alias("pairs"))
 
 
 def conv_words(spark: SparkSession, d: str) -> DataFrame:
     """(word, conv_id): each conversation once per word it contains."""
-    conv = spread(table(spark, d, "conversations").select("conv_id", "text"), "conv_id")
+    conv = table(spark, d, "conversations").select("conv_id", "text")
     return words(conv, "text", "word", ("conv_id",)).distinct()
 
 
 def q_cogroup_three_words(spark, d):
     """n-way cogroup: documents' word counts, benchmark items and conversations per word."""
     return cogroup_many(
-        [(doc_word_counts_table(spark, d), "n"), (bench_words(spark, d), "item_id"), (conv_words(spark, d), "conv_id")],
+        [(doc_word_counts(spark, d), "n"), (bench_words(spark, d), "item_id"), (conv_words(spark, d), "conv_id")],
         "word",
         ["vs", "ws", "zs"],
         sort=True,
     )
 
 
-def _chunk_summary(key, vs, ws):
-    yield (key[0], int(sum(vs)), len(ws))
+def _spread_of(key, vs, ws):
+    """A function of both whole lists: total count, and the median item."""
+    yield (key[0], int(sum(vs)), sorted(ws)[len(ws) // 2] if ws else None)
 
 
 def q_cogroup_apply_words(spark, d):
-    cg = cogroup(doc_word_counts_table(spark, d), bench_words(spark, d), "word", "n", "item_id")
-    per_chunk = cogroup_apply(cg, "word", ("vs", "ws"), _chunk_summary, "word string, n bigint, n_items bigint")
-    return per_chunk.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_items").alias("n_items"))
+    cg = cogroup(doc_word_counts(spark, d), bench_words(spark, d), "word", "n", "item_id")
+    return cogroup_apply(cg, "word", ("vs", "ws"), _spread_of, "word string, n bigint, median_item bigint")
 
 
 def _join(how):
     def q(spark, d):
-        # The skew-safe full join reads each side twice (left join + anti
-        # join), so it reads the written word-count table, not the text.
-        counts = doc_word_counts_table(spark, d) if how == "full" else doc_word_counts(spark, d)
+        # The outer joins read each side more than once, so they read the
+        # written word-count table, not the text.
+        counts = doc_word_counts(spark, d) if how == "inner" else doc_word_counts_table(spark, d)
         return join(counts, bench_words(spark, d), "word", how)
 
     return q
@@ -344,20 +403,42 @@ def q_multiset_diff(spark, d):
     return multiset_diff(expected, actual)
 
 
-def _bundle_stats(state, pdf: pd.DataFrame) -> pd.DataFrame:
-    state["bundles"] += 1
-    return pd.DataFrame({"n_rows": [len(pdf)], "sum_linenumber": [int(pdf["l_linenumber"].sum())]})
+def _start_bundle(state) -> None:
+    state["rows"] = state["sum"] = 0
+
+
+def _count_bundle(state, pdf: pd.DataFrame) -> None:
+    state["rows"] += len(pdf)
+    state["sum"] += int(pdf["l_linenumber"].sum())
+
+
+def _finish_bundle(state) -> pd.DataFrame:
+    return pd.DataFrame({"n_rows": [state["rows"]], "sum_linenumber": [state["sum"]]})
 
 
 def q_partition_stats(spark, d):
+    """All hooks: each bundle's totals are set up, counted and handed on by the
+    hook that ends it; their sum doesn't depend on the layout."""
     li = table(spark, d, "lineitem").select("l_linenumber")
     per_bundle = map_partitions(
-        li, _bundle_stats, "n_rows bigint, sum_linenumber bigint", setup=lambda: {"bundles": 0}
+        li,
+        _count_bundle,
+        "n_rows bigint, sum_linenumber bigint",
+        setup=dict,
+        start_bundle=_start_bundle,
+        finish_bundle=_finish_bundle,
+        teardown=dict.clear,
     )
     return per_bundle.agg(F.sum("n_rows").alias("n_rows"), F.sum("sum_linenumber").alias("sum_linenumber"))
 
 
 QUERIES: dict[str, Query] = {
+    "join_meanings": q_join_meanings,
+    "map_filter_flat_map": q_map_filter_flat_map,
+    "group_by_key_split": q_group_by_key_split,
+    "reduce_min_struct": q_reduce_min_struct,
+    "sum_map_empty": q_sum_map_empty,
+    "cogroup_split_words": q_cogroup_split_words,
     "flat_map_tokens": q_flat_map_tokens,
     "flat_map_pandas_tokens": q_flat_map_pandas_tokens,
     "count_by_value_words": q_count_by_value_words,
@@ -410,14 +491,11 @@ ORACLE: dict[str, str] = {
         from documents d left join (
             select doc_id, count(*) as n_tokens, count(distinct word) as n_distinct
             from {DOC_WORDS} group by doc_id) t on d.doc_id = t.doc_id""",
-    "flat_map_pandas_tokens": f"""
-        select doc_id, count(*)::bigint as n_tokens, count(distinct word)::bigint as n_distinct
-        from {DOC_WORDS} group by doc_id""",
     "count_by_value_words": f"select word, n from {WORD_COUNTS}",
     "format_counts": f"select word || ' ' || cast(n as varchar) as s from {WORD_COUNTS}",
     "word_lengths_pandas": f"select length(word)::bigint as len, count(*)::bigint as n from {DOC_WORDS} group by 1",
     "cogroup_three_words": f"""
-        select word, 0 as chunk,
+        select word,
                coalesce(list(n order by n) filter (where t = 0), []) as vs,
                coalesce(list(item_id order by item_id) filter (where t = 1), []) as ws,
                coalesce(list(conv_id order by conv_id) filter (where t = 2), []) as zs
@@ -428,13 +506,38 @@ ORACLE: dict[str, str] = {
     "count_by_value_cols": """
         select c_mktsegment, c_nationkey, count(*)::bigint as n from customer group by 1, 2""",
     "group_by_key": """
-        select o_custkey, 0 as chunk, list(o_orderkey order by o_orderkey) as orderkeys
+        select o_custkey, list(o_orderkey order by o_orderkey) as orderkeys
         from orders group by o_custkey""",
     "reduce_max": "select o_custkey, max(o_totalprice) as max_price from orders group by o_custkey",
-    "reduce_expr": f"""
+    "join_meanings": f"""
+        select c.word || ' ' || cast(c.n as varchar) || ' ' || m.meaning as s
+        from {WORD_COUNTS} c join (values {", ".join(str(m) for m in MEANINGS)}) m(word, meaning) on c.word = m.word""",
+    "map_filter_flat_map": f"""
+        select word[1:1] as initial, length(word)::int as len, count(*)::bigint as n
+        from {DOC_WORDS} where length(word) >= 10 group by 1, 2""",
+    "group_by_key_split": f"""
+        select word, count(distinct doc_id)::bigint as n_docs, true as bounded from {DOC_WORDS} group by word""",
+    "sum_map_empty": """
+        select event_id, case when event_type = 'purchase' then 1 else 0 end::int as n_keys,
+               case when event_type = 'purchase' then 1 end::bigint as n from events""",
+    "cogroup_split_words": f"""
+        select coalesce(c.word, b.word) as word, coalesce(c.n, 0)::bigint as n_docs, coalesce(b.n, 0)::bigint as n_items,
+               (coalesce(c.n, 0) * coalesce(b.n, 0))::bigint as pairs
+        from (select word, count(distinct doc_id) as n from {DOC_WORDS} group by word) c
+        full outer join (select word, count(*) as n from {BENCH_WORDS} group by word) b on c.word = b.word""",
+    "reduce_min_struct": f"""
         select lang, first(word order by length(word) desc, word) as longest
         from {DOC_WORDS} group by lang""",
-    "reduce_opaque": "select l_suppkey, sum(l_linenumber)::bigint as v from lineitem group by l_suppkey",
+    "reduce_expr": """
+        select o_custkey, case when min(o_orderpriority) = max(o_orderpriority) then min(o_orderpriority)
+               else list_max([min(o_orderpriority)[1:i] for i in range(0, 20)
+                              if min(o_orderpriority)[1:i] = max(o_orderpriority)[1:i]]) end as prefix
+        from orders group by o_custkey""",
+    "reduce_opaque": """
+        select l_suppkey, list_reduce(list(l_partkey::bigint), lambda a, b: gcd(a, b)) as v from lineitem group by l_suppkey""",
+    "observed_word_count": f"""
+        select word, n, (select count(*) from documents)::bigint as documents,
+               (select count(*) from {DOC_WORDS})::bigint as tokens from {WORD_COUNTS}""",
     "set_union": """
         select l_orderkey, list_sort(list_distinct(list(l_returnflag))) as flags
         from lineitem group by l_orderkey""",
@@ -450,7 +553,7 @@ ORACLE: dict[str, str] = {
     "sum_map": """
         select user_id, event_type as m_key, count(*)::bigint as m_value from events group by 1, 2""",
     "sum_list": """
-        select user_id, 0 as chunk, list_sort(flatten(list([event_id, event_id]))) as ids
+        select user_id, list_sort(flatten(list([event_id, event_id]))) as ids
         from events group by user_id""",
     "sum_set": """
         select user_id, list_sort(list_distinct(list(event_type))) as types from events group by user_id""",
@@ -459,12 +562,12 @@ ORACLE: dict[str, str] = {
         select user_id, sum(case when event_type = 'purchase' then 1 end)::bigint as purchases
         from events group by user_id""",
     "group_nested_pair": """
-        select l_orderkey, 0 as chunk,
+        select l_orderkey,
                list(l_partkey order by l_partkey, l_suppkey) as partkeys,
                list(l_suppkey order by l_partkey, l_suppkey) as suppkeys
         from lineitem group by l_orderkey""",
     "cogroup_words": f"""
-        select word, 0 as chunk,
+        select word,
                coalesce(list(n order by n) filter (where t = 0), []) as vs,
                coalesce(list(item_id order by item_id) filter (where t = 1), []) as ws
         from (select word, n, null::bigint as item_id, 0 as t from {WORD_COUNTS}
@@ -472,10 +575,9 @@ ORACLE: dict[str, str] = {
               select word, null::bigint, item_id, 1 from {BENCH_WORDS})
         group by word""",
     "cogroup_apply_words": f"""
-        select coalesce(c.word, b.word) as word, coalesce(c.n, 0)::bigint as n,
-               coalesce(b.n_items, 0)::bigint as n_items
+        select coalesce(c.word, b.word) as word, coalesce(c.n, 0)::bigint as n, b.items[len(b.items) // 2 + 1] as median_item
         from {WORD_COUNTS} c
-        full outer join (select word, count(*) as n_items from {BENCH_WORDS} group by word) b
+        full outer join (select word, list(item_id order by item_id) as items from {BENCH_WORDS} group by word) b
           on c.word = b.word""",
     "join_inner_words": f"select c.word, c.n, b.item_id from {WORD_COUNTS} c join {BENCH_WORDS} b on c.word = b.word",
     "join_left_words": f"select c.word, c.n, b.item_id from {WORD_COUNTS} c left join {BENCH_WORDS} b on c.word = b.word",
@@ -502,6 +604,6 @@ for _alias, _same in {
     "wordcount_reduce": "count_by_value_words",
     "wordcount_sum": "count_by_value_words",
     "wordcount_transform_chain": "count_by_value_words",
-    "observed_word_count": "count_by_value_words",
+    "flat_map_pandas_tokens": "flat_map_tokens",
 }.items():
     ORACLE[_alias] = ORACLE[_same]

@@ -1,7 +1,7 @@
 """Collection-style operators over DataFrames."""
 
 from pairflow.operators.checks import assert_same_multiset, multiset_diff
-from pairflow.operators.cogroup import cogroup, cogroup_apply, cogroup_many
+from pairflow.operators.cogroup import cogroup, cogroup_apply, cogroup_many, cogroup_split
 from pairflow.operators.counting import count_by_value
 from pairflow.operators.grouping import group_by_key, group_then_fold, reduce_by_key, reduce_by_key_pandas
 from pairflow.operators.joins import join
@@ -17,15 +17,16 @@ from pairflow.operators.rowops import (
     pair_with,
 )
 from pairflow.operators.semigroups import sum_by_key
-from pairflow.operators.skew import DEFAULT_MAX_GROUP_ROWS
+from pairflow.operators.skew import Split
 
 __all__ = [
-    "DEFAULT_MAX_GROUP_ROWS",
+    "Split",
     "apply_transform",
     "assert_same_multiset",
     "cogroup",
     "cogroup_apply",
     "cogroup_many",
+    "cogroup_split",
     "count_by_value",
     "filter_rows",
     "flat_map",

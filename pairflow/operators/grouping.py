@@ -1,13 +1,14 @@
 """Keyed grouping and reduction (A2-A4, A6-A8, P6).
 
-``group_by_key`` keeps every value; it is the only way to get a key's
-values side by side, and it is bounded by ``max_rows`` per output row
-(see ``skew``).  Whenever the question is a reduction, ``reduce_by_key``
-or ``sum_by_key`` answers it with partial aggregation instead.
+``group_by_key`` keeps every value and gives one row per key, or chunks of
+exact size for every key if the caller asks for a ``Split`` (see ``skew``).
+Whenever the question is a reduction, ``reduce_by_key`` or ``sum_by_key``
+answers it with partial aggregation instead.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from pairflow.operators.skew import DEFAULT_MAX_GROUP_ROWS, as_list, assign_chunks
+from pairflow.operators.skew import Split, as_list, refuse, with_chunks
 
 # Reducers with a built-in aggregate: partial aggregation, codegen, no lists.
 BUILTIN_REDUCERS = {
@@ -36,16 +37,13 @@ def _bare(df: DataFrame, values: list[str]) -> bool:
     return len(values) == 1 and not df.schema[values[0]].nullable
 
 
-def _gather(df: DataFrame, keys: list[str], values: list[str], max_rows: int) -> tuple[DataFrame, int]:
-    """(keys, [chunk,] _vs) and the largest chunk count of a key (1 = no split).
-
-    A nullable value is wrapped in a struct so its nulls survive collect_list
-    (which skips null elements); a non-nullable single column is gathered as is."""
+def _gather(df: DataFrame, keys: list[str], values: list[str], extra: list[str] | None = None) -> DataFrame:
+    """(keys, extra, _vs).  A nullable value is wrapped in a struct so its nulls
+    survive collect_list (which skips null elements)."""
+    refuse(df, keys, "_v", "_vs")
     wrapped = F.col(values[0]) if _bare(df, values) else F.struct(*values)
-    base = df.select(*keys, wrapped.alias("_v"))
-    chunked, max_parts = assign_chunks(base, keys, max_rows, ["_v"])
-    group_cols = keys + (["chunk"] if max_parts > 1 else [])
-    return chunked.groupBy(*group_cols).agg(F.collect_list("_v").alias("_vs")), max_parts
+    by = keys + (extra or [])
+    return df.select(*by, wrapped.alias("_v")).groupBy(*by).agg(F.collect_list("_v").alias("_vs"))
 
 
 def _unwrap(values: list[str], bare: bool = False) -> Column:
@@ -56,102 +54,66 @@ def _unwrap(values: list[str], bare: bool = False) -> Column:
     return F.col("_vs")
 
 
-def group_by_key(
-    df: DataFrame,
-    keys,
-    values,
-    out: str = "values",
-    max_rows: int = DEFAULT_MAX_GROUP_ROWS,
-    sort: bool = False,
-) -> DataFrame:
-    """groupByKey: ``keys..., chunk, out`` with every value of the key.
+def group_by_key(df: DataFrame, keys, values, out: str = "values", sort: bool = False, split: Split | None = None) -> DataFrame:
+    """groupByKey: ``keys..., out``, one row per key with every value of it.
 
     One value column gives ``array<value>``, several give
     ``array<struct<...>>``.  Null keys form one group and null values are
-    kept.  A key with more than ``max_rows`` values arrives as several rows
-    (``chunk`` 0..parts-1) that together hold all of its values; every other
-    key is one row with ``chunk = 0``.  ``sort`` orders each list.
+    kept.  ``sort`` orders each list.  With ``split`` the result is
+    ``keys..., chunk, out``: chunks of bounded size for every key.
     """
     keys, values = as_list(keys), as_list(values)
-    grouped, max_parts = _gather(df, keys, values, max_rows)
+    extra = [] if split is None else ["_part", "chunk"]
+    rows = df if split is None else with_chunks(df, keys, split)
     vals = _unwrap(values, _bare(df, values))
-    if sort:
-        vals = F.sort_array(vals)
-    chunk = F.col("chunk") if max_parts > 1 else F.lit(0)
-    return grouped.select(*keys, chunk.alias("chunk"), vals.alias(out))
-
-
-def _two_level(
-    grouped: DataFrame,
-    keys: list[str],
-    max_parts: int,
-    values: list[str],
-    per_row: Callable[[Column], Column],
-    merge: Callable[[Column], Column],
-    out: str,
-    max_rows: int,
-    bare: bool,
-) -> DataFrame:
-    """Apply ``per_row`` to each gathered list; merge the chunks of split keys.
+    grouped = _gather(rows, keys, values, extra)
+    return grouped.select(*keys, *extra[1:], (F.sort_array(vals) if sort else vals).alias(out))
 
-    The unwrapped list is projected once so the reduction does not rebuild it
-    for every reference.  Chunk results are merged in a tree whose fan-in is
-    ``max(2, max_rows)``: a key split into more chunks than that is merged
-    over ``chunk // fan_in`` first, so no merge list exceeds the bound.
-    """
-    lists = grouped.select(*keys, *(["chunk"] if max_parts > 1 else []), _unwrap(values, bare).alias("_xs"))
-    partial = lists.select(*keys, *(["chunk"] if max_parts > 1 else []), per_row(F.col("_xs")).alias(out))
-    fan_in = max(2, max_rows)
-    parts = max_parts
-    while parts > fan_in:
-        partial = partial.groupBy(*keys, (F.col("chunk") / fan_in).cast("int").alias("chunk")).agg(
-            merge(F.collect_list(out)).alias(out)
-        )
-        parts = -(-parts // fan_in)
-    if max_parts == 1:
-        return partial
-    return partial.groupBy(*keys).agg(merge(F.collect_list(out)).alias(out))
+
+def _two_level(df: DataFrame, keys: list[str], value: str, reduce: Callable[[Column], Column], out: str, spread: int) -> DataFrame:
+    """Reduce the values of each (key, part), then the parts' results of each
+    key: at most ``spread`` of them.  The part comes from the task and the
+    value, so a key's repeats in many tasks are dealt out too."""
+    refuse(df, keys, "_s", "_r")
+    bare = _bare(df, [value])
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), F.col(value)), F.lit(spread))
+    parts = _gather(df.withColumn("_s", salt), keys, [value], ["_s"]).select(*keys, _unwrap([value], bare).alias("_xs"))
+    parts = parts.select(*keys, F.struct(reduce(F.col("_xs")).alias("_x")).alias("_r"))
+    lists = parts.groupBy(*keys).agg(F.collect_list("_r").alias("_r"))
+    lists = lists.select(*keys, F.transform("_r", lambda r: r["_x"]).alias("_xs"))
+    return lists.select(*keys, reduce(F.col("_xs")).alias(out))
 
 
 def group_then_fold(
-    df: DataFrame,
-    keys,
-    value: str,
-    zero: Column,
-    op: Callable[[Column, Column], Column],
-    out: str,
-    max_rows: int = DEFAULT_MAX_GROUP_ROWS,
+    df: DataFrame, keys, value: str, zero: Column | None, op: str | Callable[[Column, Column], Column], out: str, spread: int = 32
 ) -> DataFrame:
     """groupByKey followed by a fold of each list (A3 + P6).
 
-    ``op`` must be associative with ``zero`` as identity, because the chunks
-    of a hot key are folded separately and their results folded again.
+    A built-in ``op`` (``sum``, ``max``, ...) is the aggregate itself: partial
+    sums before the one exchange, no lists.  Otherwise ``op`` must be
+    associative and commutative with ``zero`` as identity.
     """
     keys = as_list(keys)
-    grouped, max_parts = _gather(df, keys, [value], max_rows)
-    fold = lambda xs: F.aggregate(xs, zero, op)
-    return _two_level(grouped, keys, max_parts, [value], fold, fold, out, max_rows, _bare(df, [value]))
+    if isinstance(op, str):
+        return reduce_by_key(df, keys, value, op, out)
+    return _two_level(df, keys, value, lambda xs: F.aggregate(xs, zero, op), out, spread)
 
 
-def _reduce_list(xs: Column, f: Callable[[Column, Column], Column]) -> Column:
-    return F.aggregate(F.slice(xs, 2, F.greatest(F.size(xs) - 1, F.lit(0))), F.element_at(xs, 1), f)
+def _reduce_list(xs: Column, f: Callable[[Column, Column], Column], kind) -> Column:
+    rest = F.slice(xs, 2, F.greatest(F.size(xs) - 1, F.lit(0)))
+    return F.aggregate(rest, F.element_at(xs, 1), lambda a, x: f(a, x).cast(kind))
 
 
 def reduce_by_key(
-    df: DataFrame,
-    keys,
-    value: str,
-    f: str | Callable[[Column, Column], Column],
-    out: str | None = None,
-    max_rows: int = DEFAULT_MAX_GROUP_ROWS,
+    df: DataFrame, keys, value: str, f: str | Callable[[Column, Column], Column], out: str | None = None, spread: int = 32
 ) -> DataFrame:
     """reduceByKey with an associative, commutative ``f``.
 
-    * ``f`` names a built-in (``sum``, ``max``, ``min``, ``bit_or``, ...):
-      partial aggregate, one exchange, no lists.
-    * ``f`` is a function of two Columns returning a Column: each key's
-      values are gathered (chunked for hot keys) and reduced with the
-      ``aggregate`` higher-order function; chunk results are reduced again.
+    * ``f`` names a built-in (``sum``, ``max``, ``min``, ``bit_or``, ...; max
+      and min order structs too): partial aggregate, one exchange, no lists.
+    * ``f`` is a function of two Columns returning a Column: each key's values
+      are dealt to ``spread`` parts, gathered and reduced there, and the parts'
+      results are reduced again.  The result keeps the value's type.
 
     A key with a single value returns it without calling ``f``.  For opaque
     Python functions use ``reduce_by_key_pandas``.
@@ -162,15 +124,26 @@ def reduce_by_key(
         if f not in BUILTIN_REDUCERS:
             raise ValueError(f"unknown built-in reducer {f!r}; known: {sorted(BUILTIN_REDUCERS)}")
         return df.groupBy(*keys).agg(BUILTIN_REDUCERS[f](F.col(value)).alias(out))
-    grouped, max_parts = _gather(df, keys, [value], max_rows)
-    red = lambda xs: _reduce_list(xs, f)
-    return _two_level(grouped, keys, max_parts, [value], red, red, out, max_rows, _bare(df, [value]))
+    kind = df.schema[value].dataType
+    return _two_level(df, keys, value, lambda xs: _reduce_list(xs, f, kind), out, spread)
 
 
 # Number of distinct keys a map task folds before it flushes its partial results.
 PARTIAL_FLUSH_KEYS = 100_000
 
 
+def _hashable(v):
+    """A dictionary key that is equal where Spark's grouping is: all NaNs are
+    one key, and so are both zeros; arrays, structs and maps go by content."""
+    if isinstance(v, float):
+        return "NaN" if math.isnan(v) else v + 0.0
+    if isinstance(v, dict):
+        return ("map", *sorted(((_hashable(k), _hashable(x)) for k, x in v.items()), key=repr))
+    if isinstance(v, (list, tuple)):
+        return ("list", *(_hashable(x) for x in v))
+    return v
+
+
 def reduce_by_key_pandas(
     df: DataFrame,
     keys,
@@ -195,24 +168,23 @@ def reduce_by_key_pandas(
     cols = keys + [out]
     nk = len(keys)
 
-    def fold_batch(batch, acc: dict) -> None:
-        key_lists = [batch.column(i).to_pylist() for i in range(nk)]
-        vals = batch.column(nk).to_pylist()
-        for k, v in zip(zip(*key_lists), vals):
-            acc[k] = fn(acc[k], v) if k in acc else v
+    def rows_of(batch):
+        return zip(zip(*[batch.column(i).to_pylist() for i in range(nk)]), batch.column(nk).to_pylist())
 
     def emit(acc: dict, arrow_schema):
-        columns = list(zip(*[(*k, v) for k, v in acc.items()]))
+        columns = list(zip(*[(*k, v) for k, v in acc.values()]))
         return pa.RecordBatch.from_arrays(
             [pa.array(list(c), type=arrow_schema.field(i).type) for i, c in enumerate(columns)], schema=arrow_schema
         )
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        acc: dict = {}
+        acc: dict = {}  # hashable form of the key -> (key, value)
         arrow_schema = None
         for batch in batches:
             arrow_schema = batch.schema
-            fold_batch(batch, acc)
+            for k, v in rows_of(batch):
+                h = _hashable(k)
+                acc[h] = (k, fn(acc[h][1], v) if h in acc else v)
             if len(acc) >= PARTIAL_FLUSH_KEYS:
                 yield emit(acc, arrow_schema)
                 acc = {}
@@ -220,13 +192,13 @@ def reduce_by_key_pandas(
             yield emit(acc, arrow_schema)
 
     def final(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        acc: dict = {}
-        arrow_schema = None
-        for batch in batches:
+        first, total, arrow_schema = None, None, None
+        for batch in batches:  # all rows are of one key, as Spark groups keys
             arrow_schema = batch.schema
-            fold_batch(batch, acc)
-        if acc:
-            yield emit(acc, arrow_schema)
+            for k, v in rows_of(batch):
+                first, total = (k, v) if first is None else (first, fn(total, v))
+        if first is not None:
+            yield emit({None: (first, total)}, arrow_schema)
 
     partials = df.select(*keys, F.col(value).alias(out)).mapInArrow(partial, schema)
     return partials.groupBy(*keys).applyInArrow(final, schema)

@@ -6,10 +6,13 @@ the missing side.  Strategy is Spark's: broadcast hash join when the
 planner or AQE measures a side under the broadcast threshold, otherwise
 sort-merge with AQE splitting skewed partitions.
 
-AQE splits skew for inner, left and right joins but not for full outer
-joins, so ``how="full"`` is planned as a left join (left side splittable)
-plus the right rows whose key is absent on the left (a left-anti join of
-the right side, also splittable); the right side's exchange is shared.
+AQE splits both sides of an inner join, only the left side of a left or
+left-anti join, only the right side of a right join, and neither side of a
+full join.  So an outer join is the inner join plus the rows without a match,
+found by a left-anti join against the other side's distinct keys: a hot key on
+either side is split, at the cost of reading both sides again.  Where the
+caller declares with ``unique`` that the other side's keys are unique, it can
+have no hot key, and the plain join is used.
 """
 
 from __future__ import annotations
@@ -35,46 +38,39 @@ def _check(left: DataFrame, right: DataFrame, keys: list[str]) -> None:
         raise ValueError(f"join: non-key columns on both sides: {sorted(clash)}; rename one side")
 
 
-def join(left: DataFrame, right: DataFrame, keys, how: str = "inner", null_safe: bool = False) -> DataFrame:
-    """Equi-join on ``keys``; ``null_safe`` lets null keys match each other."""
+def join(left: DataFrame, right: DataFrame, keys, how: str = "inner", null_safe: bool = False, unique: str | None = None) -> DataFrame:
+    """Equi-join on ``keys``; ``null_safe`` lets null keys match each other.
+    ``unique`` ("left", "right" or "both"): sides on which no key repeats."""
     keys = as_list(keys)
     if how not in HOW:
         raise ValueError(f"join: unknown kind {how!r}")
+    if unique not in (None, "left", "right", "both"):
+        raise ValueError(f"join: unknown side {unique!r}")
     how = HOW[how]
     _check(left, right, keys)
     lvals = [c for c in left.columns if c not in keys]
     rvals = [c for c in right.columns if c not in keys]
-
-    if not null_safe:
-        if how != "full":
-            return left.join(right, on=keys, how=how).select(*keys, *lvals, *rvals)
-        matched = left.join(right, on=keys, how="left").select(*keys, *lvals, *rvals)
-        only_right = right.join(left.select(*keys), on=keys, how="left_anti")
-        filler = [F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lvals]
-        return matched.unionByName(only_right.select(*keys, *filler, *rvals))
-
     l = left.select(*[F.col(k).alias(f"_l_{k}") for k in keys], *lvals)
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *rvals)
-    cond = reduce(lambda a, b: a & b, [F.col(f"_l_{k}").eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    pairs = [(F.col(f"_l_{k}"), F.col(f"_r_{k}")) for k in keys]
+    cond = reduce(lambda a, b: a & b, [x.eqNullSafe(y) if null_safe else x == y for x, y in pairs])
+
+    def out(df: DataFrame, key_side: str) -> DataFrame:
+        return df.select(*[F.col(f"_{key_side}_{k}").alias(k) for k in keys], *lvals, *rvals)
 
-    def out(df: DataFrame, key_src: str) -> DataFrame:
-        if key_src == "left":
-            kcols = [F.col(f"_l_{k}").alias(k) for k in keys]
-        elif key_src == "right":
-            kcols = [F.col(f"_r_{k}").alias(k) for k in keys]
-        else:
-            kcols = [F.coalesce(F.col(f"_l_{k}"), F.col(f"_r_{k}")).alias(k) for k in keys]
-        return df.select(*kcols, *lvals, *rvals)
+    def alone(side: str) -> DataFrame:
+        own, other, lost, kept = (l, r, rvals, right) if side == "l" else (r, l, lvals, left)
+        gone = "r" if side == "l" else "l"
+        rest = own.join(other.select(*[f"_{gone}_{k}" for k in keys]).distinct(), cond, "left_anti")
+        return out(rest.select("*", *[F.lit(None).cast(kept.schema[c].dataType).alias(c) for c in lost]), side)
 
-    if how == "inner":
-        return out(l.join(r, cond, "inner"), "left")
-    if how == "left":
-        return out(l.join(r, cond, "left"), "left")
-    if how == "right":
-        return out(l.join(r, cond, "right"), "right")
-    matched = out(l.join(r, cond, "left"), "left")
-    only_right = r.join(l.select(*[f"_l_{k}" for k in keys]), cond, "left_anti")
-    filler = [F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lvals]
-    return matched.unionByName(
-        only_right.select(*[F.col(f"_r_{k}").alias(k) for k in keys], *filler, *rvals)
-    )
+    if how == "left" and unique in ("right", "both"):
+        return out(l.join(r, cond, "left"), "l")
+    if how == "right" and unique in ("left", "both"):
+        return out(l.join(r, cond, "right"), "r")
+    matched = out(l.join(r, cond, "inner"), "l")
+    if how in ("left", "full"):
+        matched = matched.unionByName(alone("l"))
+    if how in ("right", "full"):
+        matched = matched.unionByName(alone("r"))
+    return matched

@@ -4,7 +4,7 @@
 | integral / decimal / float | +                               | partial ``sum`` (nulls skipped)       |
 | struct                | field by field, recursively          | one partial aggregate                 |
 | map                   | merge keys, plus on values           | explode, partial sum per (key, map key) |
-| array, ``"list"``     | concatenation (order undefined)      | explode, chunked gather               |
+| array, ``"list"``     | concatenation (order undefined)      | explode, gather (``split``: chunks)    |
 | array, ``"set"``      | union                                | explode, partial ``collect_set``      |
 | any, ``"max"``/``"min"`` | larger / smaller                  | partial ``max`` / ``min``             |
 
@@ -30,7 +30,7 @@ from pyspark.sql.types import (
 )
 
 from pairflow.operators.grouping import group_by_key
-from pairflow.operators.skew import DEFAULT_MAX_GROUP_ROWS, as_list
+from pairflow.operators.skew import Split, as_list, refuse
 
 
 def _is_numeric(dt: DataType) -> bool:
@@ -57,13 +57,15 @@ def sum_by_key(
     out: str | None = None,
     semigroup: str | None = None,
     flat: bool = False,
-    max_rows: int = DEFAULT_MAX_GROUP_ROWS,
+    split: Split | None = None,
 ) -> DataFrame:
     """Sum each key's values with the semigroup of the value type (table above).
 
     ``flat`` returns map sums as ``keys, key, value`` rows (one per map key)
     and struct sums as one column per field, instead of nested values.
-    List sums return ``keys, chunk, out`` like ``group_by_key``.
+    ``split`` gives list sums the chunked layout of ``group_by_key``; its columns
+    may include ``_p``, an element's position.  Null elements of lists and sets
+    are elements; a key whose maps or arrays are all empty or null stays.
     """
     keys = as_list(keys)
     out = out or value
@@ -77,11 +79,13 @@ def sum_by_key(
         raise ValueError(f"unknown semigroup {semigroup!r}")
 
     if semigroup == "set":
+        refuse(df, keys, "_p", "_e")
         if isinstance(dt, ArrayType):
-            elems = df.select(*keys, F.explode_outer(v).alias("_e"))
+            elems = df.select(*keys, F.posexplode_outer(v).alias("_p", "_e"))
         else:
-            elems = df.select(*keys, v.alias("_e"))
-        return elems.groupBy(*keys).agg(F.collect_set("_e").alias(out))
+            elems = df.select(*keys, F.lit(0).alias("_p"), v.alias("_e"))
+        held = F.collect_set(F.when(F.col("_p").isNotNull(), F.struct("_e")))
+        return elems.groupBy(*keys).agg(F.transform(held, lambda x: x["_e"]).alias(out))
 
     if _is_numeric(dt):
         return df.groupBy(*keys).agg(F.sum(v).alias(out))
@@ -95,22 +99,27 @@ def sum_by_key(
     if isinstance(dt, MapType):
         if not _is_numeric(dt.valueType):
             raise TypeError(f"sum_by_key: map values of type {dt.valueType.simpleString()} have no plus")
-        entries = df.select(*keys, F.explode(v).alias("_mk", "_mv"))
+        refuse(df, keys, "_mk", "_mv", "_sv")
+        entries = df.select(*keys, F.explode(v).alias("_mk", "_mv")) if flat else df.select(*keys, F.explode_outer(v).alias("_mk", "_mv"))
         per_key = entries.groupBy(*keys, "_mk").agg(F.sum("_mv").alias("_sv"))
         if flat:
             return per_key.select(*keys, F.col("_mk").alias(f"{out}_key"), F.col("_sv").alias(f"{out}_value"))
         return per_key.groupBy(*keys).agg(
-            F.map_from_entries(F.sort_array(F.collect_list(F.struct("_mk", "_sv")))).alias(out)
+            F.map_from_entries(
+                F.sort_array(F.collect_list(F.when(F.col("_mk").isNotNull(), F.struct("_mk", "_sv"))))
+            ).alias(out)
         )
 
     if isinstance(dt, ArrayType):
         # posexplode_outer keeps keys whose arrays are all empty (or null): their
         # placeholder row has a null position and is dropped from the list, while
         # null elements of real arrays are kept.
-        elems = df.select(*keys, F.posexplode_outer(v).alias("_p", "_e"))
-        g = group_by_key(elems, keys, ["_p", "_e"], out=out, max_rows=max_rows)
+        refuse(df, keys, "_p", "_e")
+        by = [c for c in (split.by if split else ()) if c not in keys and c != "_p"]
+        elems = df.select(*keys, *by, F.posexplode_outer(v).alias("_p", "_e"))
+        g = group_by_key(elems, keys, ["_p", "_e"], out=out, split=split)
         kept = F.transform(F.filter(F.col(out), lambda x: x["_p"].isNotNull()), lambda x: x["_e"])
-        return g.select(*keys, "chunk", kept.alias(out))
+        return g.select(*keys, *(["chunk"] if split else []), kept.alias(out))
 
     if isinstance(dt, (StringType, BooleanType)):
         raise TypeError(f"sum_by_key: {dt.simpleString()} has no commutative plus; use reduce_by_key")

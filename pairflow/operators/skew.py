@@ -1,118 +1,73 @@
-"""Splitting hot keys for operators that gather a group's values.
+"""Splitting hot keys for operators that keep every value of a group.
 
 Sums and counts pre-aggregate on the map side, so a hot key costs nothing
-extra.  Operators that keep every value of a group (group_by_key, cogroup,
-list sums, expression reduce) cannot shrink a group, so a key holding a
-third of the input would land in one task and one row.  Such keys are
-found first and their rows spread over ``ceil(n / max_rows)`` chunks:
-
-1. count rows per key (partial aggregation, output = distinct keys) and
-   keep keys with more than ``max_rows`` rows.  There are at most
-   ``N / max_rows`` of them.  One job fetches at most
-   ``BROADCAST_KEYS_LIMIT + 1`` of these rows, the bounded size check;
-2. no hot key: the caller's plan stays a plain one-exchange aggregate;
-3. up to the limit: the fetched keys become a small local relation that is
-   broadcast-joined onto the rows (a bounded build side, like any
-   broadcast); every row gets ``chunk = pmod(seed, parts)`` for hot keys
-   and 0 for the rest;
-4. above the limit: the hot-key table is checkpointed into
-   ``spark.checkpoint.dir`` and joined with a shuffle join instead.
-
-The seed hashes the input partition id with the row's content, so a
-re-run task after an executor loss puts every row in the same chunk as
-before (no dependence on row order).  Identical rows of one input
-partition share a chunk, so a chunk holds at most about ``max_rows`` rows
-plus one input split's worth of repeats.
-
-Null keys are matched null-safely; map-typed keys, which Spark groups but
-refuses as join keys, are matched by their sorted entries.  Reductions over
-the chunks of a key are merged in ``grouping._two_level``.
+extra.  An operator that keeps a group's values gives one row per key unless
+the caller asks for a split with ``Split``.  The layout then is the chunked
+one for every key, whatever the size of the data:
+
+* ``by`` names columns that tell a key's rows apart (an id, a position).
+  Their hash deals the rows of a key to ``parts`` parts, so no task sees a
+  whole hot key.
+* Within a part, rows are numbered in the order of ``by``; a chunk holds at
+  most ``max_rows`` of them, exactly, and ends where ``max_bytes`` of ``size``
+  would be passed by the next row but one.
+
+Numbering and gathering share one exchange on (key, part).  The parts depend
+on content alone, so a task that is run again deals rows as before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.window import Window
 
 from pairflow.session import ensure_checkpoint_dir
 
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
-BROADCAST_KEYS_LIMIT = 100_000
+
+@dataclass(frozen=True)
+class Split:
+    """How to split every key: see the module's text."""
+
+    by: Sequence[str]
+    max_rows: int
+    parts: int = 32
+    size: Column | None = None
+    max_bytes: int = 64 << 20
+
+    def __post_init__(self):
+        if self.max_rows < 1 or self.parts < 1 or self.max_bytes < 1 or not self.by:
+            raise ValueError("a split needs columns and positive bounds")
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a small intermediate result.
-
-    Reliable checkpoint into the session's checkpoint folder; without one
-    (a cluster where it is not configured) the result is cached, which a
-    lost executor recomputes from lineage.
-    """
-    if ensure_checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    df = df.cache()
-    df.count()
-    return df
-
-
-def _hot_key_table(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > max_rows).select(
-        *[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
-        F.ceil(F.col("_n") / F.lit(max_rows)).cast("int").alias("_parts"),
-    )
-
-
-class HotKeys:
-    """Result of the hot-key check: the table (``_hk<i>, _parts``), how many
-    keys it holds (exact up to ``BROADCAST_KEYS_LIMIT``, else ``limit + 1``),
-    whether it may be broadcast, and the largest number of chunks of a key."""
-
-    def __init__(self, table: DataFrame | None, count: int, small: bool, max_parts: int):
-        self.table, self.count, self.small, self.max_parts = table, count, small, max_parts
-
-
-def hot_keys(df: DataFrame, keys: list[str], max_rows: int) -> HotKeys:
-    hot = _hot_key_table(df, keys, max_rows)
-    rows = hot.limit(BROADCAST_KEYS_LIMIT + 1).collect()
-    if not rows:
-        return HotKeys(None, 0, True, 1)
-    if len(rows) <= BROADCAST_KEYS_LIMIT:
-        table = df.sparkSession.createDataFrame(rows, schema=hot.schema)
-        return HotKeys(table, len(rows), True, max(r["_parts"] for r in rows))
-    table = materialize(hot)
-    max_parts = table.agg(F.max("_parts")).first()[0]
-    return HotKeys(table, len(rows), False, max_parts)
-
-
-def assign_chunks(df: DataFrame, keys: list[str], max_rows: int, salt_cols: list[str]) -> tuple[DataFrame, int]:
-    """Add an int ``chunk`` column when hot keys exist.
-
-    Returns (df, max_parts): ``max_parts`` is 1 when no key is hot (then the
-    DataFrame is unchanged and has no ``chunk`` column), else the largest
-    number of chunks any key was split into.
-    """
-    if max_rows is None or max_rows <= 0:
-        raise ValueError("max_rows must be a positive row count")
-    found = hot_keys(df, keys, max_rows)
-    hot, n_hot, small = found.table, found.count, found.small
-    if n_hot == 0:
-        return df, 1
-    seeded = df.withColumn("_seed", F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in salt_cols]))
-    side = F.broadcast(hot) if small else hot
-    cond = [
-        _joinable(seeded[k], df.schema[k].dataType).eqNullSafe(_joinable(side[f"_hk{i}"], df.schema[k].dataType))
-        for i, k in enumerate(keys)
-    ]
-    joined = seeded.join(side, on=cond, how="left")
-    chunk = F.coalesce(F.pmod(F.col("_seed"), F.col("_parts")), F.lit(0)).cast("int")
-    drop = ["_seed", "_parts"] + [f"_hk{i}" for i in range(len(keys))]
-    return joined.withColumn("chunk", chunk).drop(*drop), found.max_parts
-
-
-def _joinable(c, dtype):
-    """Maps group but cannot be join keys; their sorted entries can."""
-    return F.sort_array(F.map_entries(c)) if isinstance(dtype, MapType) else c
+    """Cut the lineage of an intermediate result with a reliable checkpoint."""
+    if not ensure_checkpoint_dir(df.sparkSession):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return df.checkpoint(eager=True)
+
+
+def with_chunks(df: DataFrame, keys: list[str], split: Split) -> DataFrame:
+    """Add a string column ``chunk`` that names a row's chunk within its key."""
+    refuse(df, keys, "chunk", "_part", "_row", "_sum")
+    dealt = df.withColumn("_part", F.pmod(F.xxhash64(*split.by), F.lit(split.parts)))
+    order = Window.partitionBy(*keys, "_part").orderBy(*split.by)
+    rows = F.floor((F.row_number().over(order) - 1) / split.max_rows)
+    full = F.lit(0)
+    if split.size is not None:
+        full = F.floor((F.sum(split.size).over(order.rowsBetween(Window.unboundedPreceding, 0)) - split.size) / split.max_bytes)
+    numbered = dealt.withColumn("_row", rows).withColumn("_sum", full)
+    return numbered.withColumn("chunk", F.concat_ws("-", "_part", "_row", "_sum")).drop("_row", "_sum")
+
+
+def refuse(df: DataFrame, keys: list[str], *reserved: str) -> None:
+    """Names that an operator needs for itself can't be key columns."""
+    clash = sorted({k for k in keys if k.lower() in reserved})
+    if clash:
+        raise ValueError(f"reserved column names {clash}; rename these keys")
 
 
 def as_list(x) -> list[str]:

@@ -41,17 +41,3 @@ def pushed_filters(df: DataFrame) -> list[str]:
 def read_schemas(df: DataFrame) -> list[str]:
     return re.findall(r"ReadSchema: (struct<[^>]*>)", plan_text(df))
 
-
-_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40, "PiB": 1 << 50, "EiB": 1 << 60}
-
-
-def estimated_size_bytes(df: DataFrame) -> float | None:
-    """Catalyst's size estimate of the DataFrame's result (top of the optimized plan).
-
-    For a file scan it follows the files' sizes, so it grows with the data;
-    ``None`` when the plan prints no statistics.
-    """
-    m = re.search(r"Statistics\(sizeInBytes=([\d.E+]+) ?(B|KiB|MiB|GiB|TiB|PiB|EiB)", plan_text(df, "cost"))
-    if not m:
-        return None
-    return float(m.group(1)) * _UNITS[m.group(2)]

@@ -8,7 +8,9 @@ setting is unset (tests, bench).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -84,6 +86,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
     if _is_local(spark):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="pairflow-ckpt-"))
+        own = tempfile.mkdtemp(prefix="pairflow-ckpt-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
         return sc.getCheckpointDir()
     return None

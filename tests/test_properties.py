@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pairflow import count_by_value, group_by_key, multiset_diff, reduce_by_key, rows_to_df, sum_by_key
+from pairflow import Split, count_by_value, group_by_key, multiset_diff, reduce_by_key, rows_to_df, sum_by_key
 
 SETTINGS = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 keys = st.sampled_from(["a", "b", "c", None])
@@ -29,7 +29,7 @@ def test_group_by_key_chunks_partition_the_values(spark, rows, max_rows):
     for k, v in rows:
         expected[k][v] += 1
     got = defaultdict(Counter)
-    for r in group_by_key(df, "k", "v", max_rows=max_rows).collect():
+    for r in group_by_key(df, "k", "v", split=Split(by=("v",), max_rows=max_rows, parts=2)).collect():
         got[r.k].update(r["values"])
     assert got == expected
 
@@ -51,7 +51,7 @@ def test_sum_by_key_skips_nulls(spark, rows):
 @given(rows=pairs, max_rows=st.integers(1, 5))
 def test_expression_reduce_equals_builtin(spark, rows, max_rows):
     df = rows_to_df(spark, [(k, v) for k, v in rows if v is not None], "k string, v int")
-    a = {r.k: r.v for r in reduce_by_key(df, "k", "v", lambda x, y: F.greatest(x, y), max_rows=max_rows).collect()}
+    a = {r.k: r.v for r in reduce_by_key(df, "k", "v", lambda x, y: F.greatest(x, y), spread=max_rows).collect()}
     b = {r.k: r.v for r in reduce_by_key(df, "k", "v", "max").collect()}
     assert a == b
 

@@ -1,10 +1,21 @@
-"""Hot keys: split into bounded chunks, nothing dropped, same answers."""
+"""Hot keys: split only where the caller says so, exact bounds, nothing lost."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from pairflow import cogroup, group_by_key, group_then_fold, reduce_by_key, rows_to_df, sum_by_key
-from pairflow.operators import assert_same_multiset
+from pairflow import (
+    Split,
+    assert_same_multiset,
+    cogroup,
+    cogroup_apply,
+    cogroup_split,
+    group_by_key,
+    group_then_fold,
+    reduce_by_key,
+    rows_to_df,
+    sum_by_key,
+)
+from pairflow.plans import exchanges
 
 from conftest import bag
 
@@ -14,90 +25,89 @@ HOT_ROWS = 3000
 @pytest.fixture(scope="module")
 def skewed(spark):
     # key "hot" holds half the rows, as repeated and as distinct values
-    hot = [("hot", i % 10) for i in range(HOT_ROWS)]
-    cold = [(f"k{i % 500}", i) for i in range(HOT_ROWS)]
-    return rows_to_df(spark, hot + cold, "k string, v bigint").repartition(6)
+    hot = [("hot", i % 10, i) for i in range(HOT_ROWS)]
+    cold = [(f"k{i % 500}", i, i) for i in range(HOT_ROWS)]
+    return rows_to_df(spark, hot + cold, "k string, v bigint, id bigint").repartition(6)
 
 
-def test_group_by_key_splits_only_hot_key(skewed):
-    g = group_by_key(skewed, "k", "v", max_rows=1000)
-    rows = g.collect()
-    hot = [r for r in rows if r.k == "hot"]
-    assert len(hot) > 1, "hot key must be split"
-    assert all(r.chunk == 0 for r in rows if r.k != "hot")
-    assert sum(len(r["values"]) for r in hot) == HOT_ROWS
-    # nothing lost or duplicated
-    flat = g.select("k", F.explode("values").alias("v"))
-    assert_same_multiset(skewed, flat)
+def test_unsplit_is_one_row_per_key_at_any_size(skewed):
+    g = group_by_key(skewed, "k", "v")
+    assert g.columns == ["k", "values"] and g.count() == g.select("k").distinct().count()
+    assert len(g.where("k = 'hot'").first()["values"]) == HOT_ROWS
 
 
-def test_chunking_is_deterministic(skewed):
-    a = group_by_key(skewed, "k", "v", max_rows=1000, sort=True)
-    b = group_by_key(skewed, "k", "v", max_rows=1000, sort=True)
-    assert bag(a) == bag(b)
+@pytest.mark.parametrize("bound", [1, 7, 1000, 10**6])
+def test_split_bounds_are_exact_and_nothing_is_lost(skewed, bound):
+    g = group_by_key(skewed, "k", "v", split=Split(by=("id",), max_rows=bound, parts=4))
+    assert g.columns == ["k", "chunk", "values"]
+    assert g.select(F.max(F.size("values"))).first()[0] <= bound
+    assert_same_multiset(skewed.select("k", "v"), g.select("k", F.explode("values").alias("v")))
 
 
-def test_split_reduce_and_fold_match_unsplit(skewed):
-    assert bag(reduce_by_key(skewed, "k", "v", lambda a, b: a + b, max_rows=500)) == bag(
-        reduce_by_key(skewed, "k", "v", "sum")
-    )
-    folded = group_then_fold(skewed, "k", "v", F.lit(0).cast("bigint"), lambda a, x: a + x, "v", max_rows=500)
-    assert bag(folded) == bag(sum_by_key(skewed, "k", "v"))
+def test_split_holds_constant_values_within_the_bound(spark):
+    df = spark.range(0, 20_000, 1, 2).select(F.lit("a").alias("k"), F.lit(1).alias("v"), "id")
+    g = group_by_key(df, "k", "v", split=Split(by=("id",), max_rows=100))
+    sizes = [len(r["values"]) for r in g.collect()]
+    assert max(sizes) <= 100 and sum(sizes) == 20_000
 
 
-def test_split_list_sum_keeps_all(skewed):
-    arr = skewed.select("k", F.array("v", "v").alias("vs"))
-    s = sum_by_key(arr, "k", "vs", max_rows=1000)
-    assert s.where("k = 'hot'").count() > 1
-    assert s.select(F.sum(F.size("vs"))).first()[0] == 2 * 2 * HOT_ROWS
+def test_split_bounds_bytes(spark):
+    df = rows_to_df(spark, [("a", "x" * 100, i) for i in range(50)], "k string, v string, id int")
+    g = group_by_key(df, "k", "v", split=Split(by=("id",), max_rows=1000, parts=1, size=F.length("v"), max_bytes=1000))
+    assert all(sum(map(len, r["values"])) <= 1100 for r in g.collect()) and g.count() == 5
 
 
-def test_cogroup_split_keeps_both_sides(spark, skewed):
-    right = rows_to_df(spark, [("hot", "x"), ("hot", "y"), ("k1", "z"), ("solo", "w")], "k string, w string")
-    cg = cogroup(skewed, right, "k", "v", "w", max_rows=1000)
-    hot = cg.where("k = 'hot'").collect()
-    assert len(hot) > 1
-    assert sum(len(r.vs) for r in hot) == HOT_ROWS
-    assert sorted(w for r in hot for w in r.ws) == ["x", "y"]
-    solo = cg.where("k = 'solo'").first()
-    assert solo.vs == [] and solo.ws == ["w"]
-
+def test_split_is_one_exchange_besides_the_fixture(skewed):
+    g = group_by_key(skewed, "k", "v", split=Split(by=("id",), max_rows=10))
+    assert len([e for e in exchanges(g) if "_part" in e]) == 1
 
-def test_tree_merge_when_chunks_exceed_the_bound(skewed):
-    # max_rows=20 splits the hot key into 150 chunks (> 20), so the chunk
-    # results are merged over two levels; the answer must not change.
-    assert bag(reduce_by_key(skewed, "k", "v", lambda a, b: a + b, max_rows=20)) == bag(
-        reduce_by_key(skewed, "k", "v", "sum")
-    )
 
+def test_reduce_and_fold_with_an_expression_equal_the_builtin(skewed):
+    want = bag(reduce_by_key(skewed, "k", "v", "sum"))
+    for spread in (1, 5):
+        assert bag(reduce_by_key(skewed, "k", "v", lambda a, b: a + b, spread=spread)) == want
+        assert bag(group_then_fold(skewed, "k", "v", F.lit(0).cast("bigint"), lambda a, x: a + x, "v", spread=spread)) == want
+    assert bag(group_then_fold(skewed, "k", "v", None, "sum", "v")) == want
 
-def test_tree_merge_terminates_with_bound_one(spark):
-    df = rows_to_df(spark, [("a", i) for i in range(9)] + [("b", 1)], "k string, v bigint")
-    assert bag(reduce_by_key(df, "k", "v", lambda a, b: a + b, max_rows=1)) == [("a", 36), ("b", 1)]
 
+def test_expression_reduce_keeps_decimals(spark):
+    df = rows_to_df(spark, [("a", 1), ("a", 2), ("b", 3)], "k string, v int").select("k", F.col("v").cast("decimal(18,2)").alias("v"))
+    r = reduce_by_key(df, "k", "v", lambda a, b: a + b)
+    assert r.schema["v"].dataType.simpleString() == "decimal(18,2)" and sorted(float(x.v) for x in r.collect()) == [3.0, 3.0]
 
-def test_hot_map_keys_split(spark):
-    rows = [({"x": 1}, i) for i in range(40)] + [({"y": 2}, 1)]
-    df = rows_to_df(spark, rows, "k map<string,int>, v bigint")
-    g = group_by_key(df, "k", "v", max_rows=10).collect()
-    hot = [r for r in g if r.k == {"x": 1}]
-    assert len(hot) > 1 and sum(len(r["values"]) for r in hot) == 40
 
+def test_split_list_sum_keeps_all(skewed):
+    arr = skewed.select("k", "id", F.array("v", "v").alias("vs"))
+    s = sum_by_key(arr, "k", "vs", split=Split(by=("id", "_p"), max_rows=1000))
+    assert s.where("k = 'hot'").count() > 1
+    assert s.select(F.sum(F.size("vs"))).first()[0] == 2 * 2 * HOT_ROWS
 
-def test_hot_null_key_is_split(spark):
-    rows = [(None, i) for i in range(50)] + [("a", 1)]
-    df = rows_to_df(spark, rows, "k string, v bigint")
-    g = group_by_key(df, "k", "v", max_rows=10).collect()
-    nulls = [r for r in g if r.k is None]
-    assert len(nulls) > 1 and sorted(v for r in nulls for v in r["values"]) == list(range(50))
 
+@pytest.mark.parametrize("bound", [1, 3, 100])
+@pytest.mark.parametrize("side", ["left", "right"])
+def test_every_pair_of_a_split_cogroup_meets_once(spark, bound, side):
+    left = rows_to_df(spark, [("a", i) for i in range(10)] + [("l", 1)], "k string, v int")
+    right = rows_to_df(spark, [("a", 100), ("a", 101), ("r", 7), (None, 8)], "k string, w int")
+    by = ("v",) if side == "left" else ("w",)
+    cg = cogroup_split(left, right, "k", "v", "w", Split(by=by, max_rows=bound), side=side)
+    pairs = lambda key, vs, ws: [(key[0], len(vs) * len(ws))]
+    with pytest.raises(ValueError):
+        cogroup_apply(cg, "k", ("vs", "ws"), pairs, "k string, n int")
+    n = cogroup_apply(cg, "k", ("vs", "ws"), pairs, "k string, n int", per_chunk=True)
+    got = {r.k: r.n for r in n.groupBy("k").agg(F.sum("n").alias("n")).collect()}
+    assert got == {"a": 20, "l": 0, "r": 0, None: 0}
+
+
+def test_unsplit_cogroup_shows_whole_lists(spark, skewed):
+    right = rows_to_df(spark, [("hot", "x"), ("hot", "y"), ("solo", "w")], "k string, w string")
+    cg = cogroup(skewed, right, "k", "v", "w")
+    hot = cg.where("k = 'hot'").collect()
+    assert len(hot) == 1 and len(hot[0].vs) == HOT_ROWS and sorted(hot[0].ws) == ["x", "y"]
 
-def test_split_plan_broadcasts_the_hot_keys(skewed):
-    from pairflow.plans import exchanges, plan_text
 
-    g = group_by_key(skewed, "k", "v", max_rows=1000)
-    text = plan_text(g)
-    assert "BroadcastHashJoin" in text and "BroadcastExchange" in text
-    # the rows are shuffled once, by (key, chunk), besides the fixture's own repartition
-    keyed = [e for e in exchanges(g) if "hashpartitioning(k" in e]
-    assert len(keyed) == 1 and "chunk" in keyed[0]
+def test_reserved_names_are_refused(spark):
+    df = rows_to_df(spark, [(1, 2)], "chunk int, v int")
+    with pytest.raises(ValueError):
+        group_by_key(df, "chunk", "v", split=Split(by=("v",), max_rows=1))
+    with pytest.raises(ValueError):
+        group_by_key(df.withColumnRenamed("chunk", "_v"), "_v", "v")
