@@ -2,11 +2,12 @@
 
 A shard holds at most ``DOCS`` documents and about ``CHARS`` characters.  For
 each of its distinct words there is one row: the shard's documents with that
-word (numbers within the shard, ascending), how often, and their lengths.  The
-compact form has no lengths, lists documents that hold the word more than once
-first, and gives counts for those only.  The
+word (numbers within the shard, ascending), how often, and their lengths, packed
+as ``RECORD``s in one binary value.  The compact form has lists in place of
+records: no lengths, first the documents that hold the word more than once, and
+counts for those only.  The
 empty word stands for the end of the text: its row lists every document of the
-shard once, with its id.  Words are what stands between ASCII white space with
+shard once, with its length and id, as lists.  Words are what stands between ASCII white space with
 A-Z lower-cased, as UTF-8 bytes.  Null counts as the empty text.
 """
 
@@ -23,6 +24,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Shor
 DOCS = 8192
 CHARS = 16_000_000
 END = b""
+RECORD = np.dtype([("doc", "<u2"), ("tf", "<u4"), ("len", "<u4")])
 
 
 def words_of(text) -> list:
@@ -30,12 +32,12 @@ def words_of(text) -> list:
 
 
 def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = None, groups: int = 0, compact: bool = False) -> DataFrame:
-    """(shard, term, docs, tfs, lens, sums, ids, marks): ``sums[g]`` counts the
+    """(shard, term, packed, docs, tfs, lens, sums, ids, marks): ``sums[g]`` counts the
     word in documents whose ``group`` is g (-1: none); ``ids`` and ``marks``
     (the groups) are filled on the rows of the empty word only."""
     ints = ArrayType(IntegerType())
     schema = StructType(
-        [StructField("shard", LongType()), StructField("term", BinaryType())]
+        [StructField("shard", LongType()), StructField("term", BinaryType()), StructField("packed", BinaryType())]
         + [StructField("docs", ArrayType(ShortType())), StructField("tfs", ints), StructField("lens", ints)]
         + [StructField("sums", ArrayType(LongType()))]
         + [StructField("ids", ArrayType(docs.schema[id_col].dataType)), StructField("marks", ints)]
@@ -66,9 +68,11 @@ def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = No
                 term, doc, tf = term[by], doc[by], tf[by]
             starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
             offsets = np.r_[starts, len(term)]
-            several = np.r_[0, np.cumsum(tf > 1)][offsets] if compact else offsets
-            counts = tf[tf > 1] if compact else tf
-            known = lens[doc]
+            several = np.r_[0, np.cumsum(tf > 1)][offsets]
+            counts = tf[tf > 1]
+            if not compact:
+                records = np.empty(len(doc), RECORD)
+                records["doc"], records["tf"], records["len"] = doc, tf, lens[doc]
             sums = np.zeros((len(starts), groups), np.int64)
             if groups:
                 mark = marks[doc]
@@ -80,18 +84,28 @@ def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = No
             for a in range(0, len(words), 65_536):
                 b = min(a + 65_536, len(words))
                 lo, hi = offsets[a], offsets[b]
-                cut = lambda v, kind: lists(v[lo:hi], offsets[a : b + 1] - lo, kind)  # noqa: E731, B023
-                own_ids = ids if a <= end < b else ids.slice(0, 0)
-                own_marks = marks if a <= end < b else marks[:0]
+                held = a <= end < b  # the row of the empty word is among these
+                own_ids, own_marks, own_lens = (ids, marks, lens) if held else (ids.slice(0, 0), marks[:0], lens[:0])
+                once = at[a : b + 1] - at[a]
+                if compact:
+                    packed = pa.nulls(b - a, pa.binary())
+                    own_docs = lists(doc[lo:hi], offsets[a : b + 1] - lo, pa.int16())
+                    own_tfs = lists(counts[several[a] : several[b]], several[a : b + 1] - several[a], pa.int32())
+                else:
+                    places = np.ascontiguousarray((offsets[a : b + 1] - lo) * RECORD.itemsize, np.int32)
+                    packed = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(places), pa.py_buffer(records[lo:hi].tobytes())])
+                    own_docs = lists(np.arange(n if held else 0), once, pa.int16())
+                    own_tfs = lists(counts[:0], once * 0, pa.int32())
                 cols = [
                     pa.array(np.full(b - a, part << 32 | number, np.int64)),
                     pa.array(words[a:b], pa.binary()),
-                    cut(doc, pa.int16()),
-                    lists(counts[several[a] : several[b]], several[a : b + 1] - several[a], pa.int32()),
-                    lists(lens, at[a : b + 1] - at[a], pa.int32()) if compact and a <= end < b else cut(known, pa.int32()) if not compact else lists(lens[:0], at[a : b + 1] * 0, pa.int32()),
+                    packed,
+                    own_docs,
+                    own_tfs,
+                    lists(own_lens, once, pa.int32()),
                     lists(sums[a:b].ravel(), np.arange(b - a + 1) * groups, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(at[a : b + 1] - at[a], pa.int32()), own_ids),
-                    lists(own_marks, at[a : b + 1] - at[a], pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(once, pa.int32()), own_ids),
+                    lists(own_marks, once, pa.int32()),
                 ]
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in schema.fields])
 
