@@ -53,16 +53,28 @@ def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = No
             code: dict = defaultdict()
             code.default_factory = code.__len__
             tokens, lens = [], []
-            for t in texts:
-                own = words_of(t)
+            n = len(texts)
+            for i in range(n):
+                own = words_of(texts[i])
+                texts[i] = None  # the text is not needed any more
                 own.append(END)
                 lens.append(len(own))
-                tokens.append(np.fromiter(map(code.__getitem__, own), np.int64, len(own)))
-            n = len(texts)
+                tokens.append(np.fromiter(map(code.__getitem__, own), np.int32, len(own)))
             lens = np.asarray(lens, np.int64)
-            key = np.concatenate(tokens) * n + np.repeat(np.arange(n), lens)
-            key, tf = np.unique(key, return_counts=True)
+            key = np.empty(lens.sum(), np.int64)
+            at = 0
+            for i, own in enumerate(tokens):
+                key[at : at + len(own)] = own
+                key[at : at + len(own)] *= n
+                key[at : at + len(own)] += i
+                at += len(own)
+            del tokens
+            key.sort()
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            tf = np.diff(np.r_[first, len(key)])
+            key = key[first]
             term, doc = key // n, key % n
+            del key, first
             if compact:
                 by = np.argsort(term * 2 + (tf == 1), kind="stable")
                 term, doc, tf = term[by], doc[by], tf[by]
@@ -77,10 +89,10 @@ def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = No
             if groups:
                 mark = marks[doc]
                 np.add.at(sums, (term[mark >= 0], mark[mark >= 0]), tf[mark >= 0])
-            end = code[END]
+            end, words = code[END], list(code)
+            code.clear()
             at = np.zeros(len(starts) + 1, np.int64)
             at[end + 1 :] = n
-            words = list(code)
             for a in range(0, len(words), 65_536):
                 b = min(a + 65_536, len(words))
                 lo, hi = offsets[a], offsets[b]
@@ -118,11 +130,12 @@ def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = No
                 ids, texts, marks, size, number = [], [], [], 0, number + 1
 
         for batch in batches:
-            for i, (t, g) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                ids.append(batch.column(0).slice(i, 1))
-                texts.append(t)
+            own = batch.column(0).take(pa.array(np.arange(batch.num_rows)))  # a copy, which does not hold the batch's texts
+            for i, (t, g) in enumerate(zip(batch.column(1), batch.column(2).to_pylist())):
+                ids.append(own.slice(i, 1))
+                texts.append(t.as_py())
                 marks.append(g)
-                size += len(t or "")
+                size += len(texts[-1] or "")
                 if len(texts) >= DOCS or size >= CHARS:
                     yield from flush()
         yield from flush()
