@@ -3,7 +3,8 @@
 A shard holds at most ``DOCS`` documents and about ``CHARS`` characters.  For
 each of its distinct words there is one row: the shard's documents with that
 word (numbers within the shard, ascending), how often, and their lengths, packed
-as ``RECORD``s in one binary value.  The compact form has lists in place of
+in one binary value: the first bytes of all ``RECORD``s, then the second ones and
+so on, which compress well on their way.  The compact form has lists in place of
 records: no lengths, first the documents that hold the word more than once, and
 counts for those only.  The
 empty word stands for the end of the text: its row lists every document of the
@@ -31,6 +32,35 @@ def words_of(text) -> list:
     return text.encode("utf-8", "replace").lower().split() if text else []
 
 
+def _places(offsets: np.ndarray) -> tuple:
+    """Where the first byte of each posting stands in its list, and the list's size."""
+    sizes = np.diff(offsets)
+    n = np.repeat(sizes, sizes)
+    return np.arange(len(n)) + np.repeat(offsets[:-1], sizes) * (RECORD.itemsize - 1), n
+
+
+def pack(records: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The bytes of all lists; list i has the records from offsets[i] to offsets[i + 1]."""
+    raw = records.view(np.uint8).reshape(-1, RECORD.itemsize)
+    out = np.empty(raw.size, np.uint8)
+    at, n = _places(offsets)
+    for b in range(RECORD.itemsize):
+        out[at] = raw[:, b]
+        at += n
+    return out
+
+
+def unpack(packed: bytes, offsets: np.ndarray) -> np.ndarray:
+    """The records that ``pack`` was given."""
+    raw = np.frombuffer(packed, np.uint8)
+    out = np.empty((len(raw) // RECORD.itemsize, RECORD.itemsize), np.uint8)
+    at, n = _places(offsets)
+    for b in range(RECORD.itemsize):
+        out[:, b] = raw[at]
+        at += n
+    return out.view(RECORD).ravel()
+
+
 def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = None, groups: int = 0, compact: bool = False) -> DataFrame:
     """(shard, term, packed, docs, tfs, lens, sums, ids, marks): ``sums[g]`` counts the
     word in documents whose ``group`` is g (-1: none); ``ids`` and ``marks``
@@ -105,7 +135,7 @@ def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = No
                     own_tfs = lists(counts[several[a] : several[b]], several[a : b + 1] - several[a], pa.int32())
                 else:
                     places = np.ascontiguousarray((offsets[a : b + 1] - lo) * RECORD.itemsize, np.int32)
-                    packed = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(places), pa.py_buffer(records[lo:hi].tobytes())])
+                    packed = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(places), pa.py_buffer(pack(records[lo:hi], offsets[a : b + 1] - lo))])
                     own_docs = lists(np.arange(n if held else 0), once, pa.int16())
                     own_tfs = lists(counts[:0], once * 0, pa.int32())
                 cols = [

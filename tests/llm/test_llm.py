@@ -6,12 +6,13 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pairflow.llm import bpe, iblt, langid, licenses, mixing, packing, search, simhash, toxicity, wordpiece
+from pairflow.llm import bpe, iblt, langid, licenses, mixing, packing, postings, search, simhash, toxicity, wordpiece
 from pairflow.llm.base import fold
 from pairflow.llm.graph import components
 from pairflow.llm.queries import RANKS
@@ -265,3 +266,10 @@ def test_pipeline_drops_what_it_should_and_keeps_the_rest(spark, docs, marks, tm
     marks.write.parquet(str(tmp_path / "labels.parquet"))
     got = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert {1, 7, 10, 12, 14, 15, None} <= got and not {2, 4, 5, 6, 8, 13} & got
+
+
+def test_packed_postings_round_trip():
+    rng = np.random.default_rng(3)
+    offsets = np.r_[0, np.cumsum(rng.integers(1, 9, 40))]
+    records = np.frombuffer(rng.bytes(10 * int(offsets[-1])), postings.RECORD)
+    assert (postings.unpack(postings.pack(records, offsets).tobytes(), offsets) == records).all()
