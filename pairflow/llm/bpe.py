@@ -26,24 +26,30 @@ from pairflow.llm.base import per_process, slices, strings
 
 LONG = 192
 NONE = np.int64(1 << 40)
-CACHE = 200_000  # memory bound of a worker's cache of encoded matches; it only saves time
+SLICE = 500_000  # characters encoded at once
+CACHE = 200_000
+CACHE_BYTES = 16_000_000
 WIDTHS = (2, 4, 6, 8, 10, 12, 16, 24, 32, 48, 64, 96, 128, LONG)
 
 
+def read_ranks(path: str) -> dict:
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+
+
 class Ranks:
     """A rank file: tokens, the ids of single bytes, and the pair table."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-        self.tokens = {r: t for t, r in self.ranks.items()}
-        self.byte = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+        ranks = read_ranks(path)
+        self.tokens = {r: t for t, r in ranks.items()}
+        self.byte = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
         if (self.byte < 0).any():
             raise ValueError("the ranks lack single bytes")
         pairs = {}
-        for token, r in self.ranks.items():
+        for token, r in ranks.items():
             for i in range(1, len(token)):
-                a, b = self.ranks.get(token[:i]), self.ranks.get(token[i:])
+                a, b = ranks.get(token[:i]), ranks.get(token[i:])
                 if a is not None and b is not None:
                     pairs[a << 32 | b] = r
         self.pairs = pairs
@@ -154,26 +160,46 @@ class Ranks:
         return out
 
 
+class Encoder:
+    """Encodes texts one after another; matches met before come from a cache of
+    at most ``CACHE`` matches and ``CACHE_BYTES`` bytes, which only saves time."""
+
+    def __init__(self, path: str, pattern: str):
+        self.ranks = per_process(("bpe", path), lambda: Ranks(path))
+        self.split = regex.compile(pattern).findall
+        self.known: dict = {}
+        self.held = 0
+
+    def __call__(self, texts: list) -> list:
+        """Packed ids of each of ``texts``."""
+        out = []
+        for a, b in slices(texts, SLICE):
+            words = [self.split(t) for t in texts[a:b]]
+            if len(self.known) > CACHE or self.held > CACHE_BYTES:
+                self.known, self.held = {}, 0
+            known = self.known
+            new = list({w for doc in words for w in doc if w not in known})
+            raw = [w.encode("utf-8", "replace") for w in new]
+            ids = self.ranks.encode_words(raw)
+            known.update((w, ids[r]) for w, r in zip(new, raw))
+            self.held += sum(len(r) + len(i) for r, i in ids.items())
+            out += [b"".join(map(known.__getitem__, doc)) for doc in words]
+        return out
+
+
+def decoded(tokens: dict, ids) -> bytes:
+    """The bytes of one value of packed ids."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
 def encode(text: Column, path: str, pattern: str) -> Column:
     """Packed ids of each text, without special tokens."""
 
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ranks = per_process(("bpe", path), lambda: Ranks(path))
-        split = regex.compile(pattern).findall
-        known: dict = {}
+        encoder = Encoder(path, pattern)
         for series in batches:
-            texts, out = strings(series), []
-            for a, b in slices(texts, 2_000_000):
-                words = [split(t) for t in texts[a:b]]
-                if len(known) > CACHE:
-                    known.clear()
-                new = list({w for doc in words for w in doc if w not in known})
-                raw = [w.encode("utf-8", "replace") for w in new]
-                ids = ranks.encode_words(raw)
-                known.update((w, ids[r]) for w, r in zip(new, raw))
-                out += [b"".join(map(known.__getitem__, doc)) for doc in words]
-            yield pd.Series(out, dtype=object)
+            yield pd.Series(encoder(strings(series)), dtype=object)
 
     return run(text)
 
@@ -183,10 +209,26 @@ def decode(ids: Column, path: str) -> Column:
 
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = per_process(("bpe", path), lambda: Ranks(path)).tokens
+        tokens = per_process(("bpe tokens", path), lambda: {r: t for t, r in read_ranks(path).items()})
         for series in batches:
-            yield pd.Series(
-                [b"".join(map(tokens.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in series], dtype=object
-            )
+            yield pd.Series([decoded(tokens, x) for x in series], dtype=object)
 
     return run(ids)
+
+
+def round_trip(text: Column, path: str, pattern: str) -> Column:
+    """(ids, decoded) of each text: ``encode``, then ``decode`` of its ids, by
+    one worker process with one table of ranks instead of two."""
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(path, pattern)
+        tokens = encoder.ranks.tokens
+        for series in batches:
+            texts = strings(series)
+            del series
+            for a, b in slices(texts, 4 * SLICE):
+                ids = encoder(texts[a:b])
+                yield pd.DataFrame({"ids": ids, "decoded": [decoded(tokens, x) for x in ids]}, dtype=object)
+
+    return run(text)

@@ -49,14 +49,12 @@ def op6_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op7_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
-    ids = bpe.encode(F.col("text"), RANKS, public_tokenizers.PATTERN)
-    rows = documents(spark, d).select("doc_id", ids.alias("ids"))
-    rows = rows.select("doc_id", "ids", bpe.decode(F.col("ids"), RANKS).alias("decoded"))
+    rows = documents(spark, d).select("doc_id", bpe.round_trip(F.col("text"), RANKS, public_tokenizers.PATTERN).alias("t"))
     return rows.select(
         "doc_id",
-        (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.length("t.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("t.ids", 256).alias("ids_sha256"),
+        F.sha2("t.decoded", 256).alias("decoded_sha256"),
     )
 
 

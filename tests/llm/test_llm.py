@@ -55,6 +55,7 @@ OPERATORS = {
     "simhash": lambda d, m: simhash.near_duplicates(d),
     "mixing": lambda d, m: mixing.score(d, F.col("doc_id") != 3, "lang"),
     "bpe": lambda d, m: d.select(bpe.decode(bpe.encode(F.col("text"), RANKS, P.PATTERN), RANKS).alias("raw")),
+    "bpe round trip": lambda d, m: d.select(bpe.round_trip(F.col("text"), RANKS, P.PATTERN).alias("t")).select("t.*"),
     "iblt": lambda d, m: iblt.fingerprints(d),
     "licenses": lambda d, m: licenses.scan(d),
     "toxicity": lambda d, m: d.select("doc_id", toxicity.score(toxicity.train(d, m), d.sparkSession, F.col("text")).alias("f")),
@@ -214,6 +215,8 @@ def test_bpe_equals_the_library(docs):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rows = docs.select("text", bpe.encode(F.col("text"), RANKS, P.PATTERN).alias("ids"))
+    both = docs.select(bpe.round_trip(F.col("text"), RANKS, P.PATTERN).alias("t")).select("t.ids", "t.decoded")
+    assert sorted(map(tuple, both.collect())) == sorted((r["ids"], r["raw"]) for r in rows.select("ids", bpe.decode(F.col("ids"), RANKS).alias("raw")).collect())
     for r in rows.select("text", "ids", bpe.decode(F.col("ids"), RANKS).alias("raw")).collect():
         assert bytes(r.ids) == b"".join(i.to_bytes(4, "little") for i in lib.encode_ordinary(r.text or ""))
         assert bytes(r.raw) == (r.text or "").encode()
