@@ -24,7 +24,7 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
 
 
-def saved(df: DataFrame) -> DataFrame:
+def saved(df: DataFrame, **options) -> DataFrame:
     """Write ``df`` as Parquet into the session's shared checkpoint folder and
     read it back: cuts the lineage, and a lost executor loses nothing of it."""
     spark = df.sparkSession
@@ -32,7 +32,7 @@ def saved(df: DataFrame) -> DataFrame:
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{folder}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

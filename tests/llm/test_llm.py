@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
@@ -276,3 +277,36 @@ def test_packed_postings_round_trip():
     offsets = np.r_[0, np.cumsum(rng.integers(1, 9, 40))]
     records = np.frombuffer(rng.bytes(10 * int(offsets[-1])), postings.RECORD)
     assert (postings.unpack(postings.pack(records, offsets).tobytes(), offsets) == records).all()
+
+
+def test_search_asks_with_every_word_of_the_query(spark):
+    rare = [f"rare{i}" for i in range(12)]
+    rows = [(1, " ".join(rare + [f"plain{i}" for i in range(40)])), (2, " ".join(f"plain{i}" for i in range(40)))]
+    rows += [(10 + i, f"{w} other") for i, w in enumerate(rare)] + [(100 + i, f"plain{i % 40} common") for i in range(80)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [r.id for r in search.search(d, d.where("doc_id = 1"), k=100).orderBy("rank").collect()]
+    assert got[:2] == [1, 2] and set(got) == {i for i, _ in rows}  # 8 rare words would find 9 documents, not the second
+    assert len(search.search(d, d.where("doc_id = 1"), k=100, terms=8).collect()) == 9
+
+
+def test_whole_queries_skip_no_document(monkeypatch):
+    rng = np.random.default_rng(7)
+    n = 2000
+    lists = [np.sort(rng.choice(n, rng.integers(1, m), replace=False)) for m in (5, 40, 200, 900, 1500, 1990) * 5]
+    offsets = np.cumsum([0, *map(len, lists)])
+    records = np.zeros(offsets[-1], postings.RECORD)
+    records["doc"], records["tf"], records["len"] = np.concatenate(lists), rng.integers(1, 9, offsets[-1]), 50
+    weights = np.array([5.0, 4.0, 3.0, 1.0, 0.3, 0.05] * 5)
+    for block in (8, 256):
+        monkeypatch.setattr(search, "RANGE", block)
+        shard = search.Shard(pa.array([b"%02d" % i for i in range(30)]), [len(x) for x in lists], postings.pack(records, offsets).tobytes(), n, 50.0)
+        own = shard.weigh(pa.array([b"%02d" % i for i in range(30)]), weights)
+        parts = search.impacts(np.repeat(weights, [len(x) for x in lists]), records["tf"], 50, 50.0)
+        full = np.bincount(records["doc"], parts, n)
+        for least in (0.0, np.sort(full)[-5] - 1e-9):
+            for share in (0.0, 0.1, 0.6):
+                monkeypatch.setattr(search, "WEAK", share)
+                small = search.split(weights)
+                found, scores = shard.best(own[~small], own[small], 10, least)
+                want = np.flatnonzero(full >= max(least, np.sort(full)[-10]) - 1e-9)
+                assert found.tolist() == want.tolist() and scores == pytest.approx(full[want])
