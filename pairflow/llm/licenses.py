@@ -2,8 +2,9 @@
 
 Words are runs of a-z, 0-9 and everything beyond ASCII in the text with A-Z
 lower-cased.  The base scan finds places where a phrase's words stand one after
-another.  The method joins text blocks (a line, or its stretches of at most
-``BLOCK`` words that overlap by half) with license templates: a block matches
+another.  The method joins text blocks (stretches of at most ``BLOCK`` words
+that overlap by half, of the whole text across its lines and of every line)
+with license templates: a block matches
 if it holds at least ``THRESHOLD`` of the template's distinct words.
 
 The join is exact.  Template words are ordered by how many documents of the
@@ -33,7 +34,8 @@ PHRASES = (
     ("cc by", "cc-by"),
     ("mit license", "mit"),
 )
-# Opening words of common license notices and the labels they give.
+# Opening words of common license notices, further stretches of the
+# texts (of at most 32 words, which always stand in one block), and their labels.
 TEMPLATES = (
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
@@ -48,6 +50,16 @@ TEMPLATES = (
     ("mpl", "this source code form is subject to the terms of the mozilla public license"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("apache", "software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("isc", "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial"),
 )
 THRESHOLD = 0.85
 BLOCK = 64
@@ -82,15 +94,16 @@ def word_order(docs: DataFrame, words: list, text_col: str = "text") -> dict:
     return {w: 0 for w in words} | {r["w"]: r["n"] for r in rows}
 
 
-def _blocks(lowered: Column) -> Column:
+def _blocks(lowered: Column, spaced: Column) -> Column:
+    """The blocks of the whole text, where a line's end parts words like a space, and those of every line."""
     half = BLOCK // 2
 
-    def windows(line):
-        w = _words(_spaced(line))
-        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil((F.size(w) - BLOCK) / half)).cast("int"))
-        return F.transform(starts, lambda i: F.slice(w, i * half + 1, F.lit(BLOCK)))
+    def windows(words):
+        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil((F.size(words) - BLOCK) / half)).cast("int"))
+        return F.transform(starts, lambda i: F.slice(words, i * half + 1, F.lit(BLOCK)))
 
-    return F.flatten(F.transform(F.split(lowered, "\n"), windows))
+    lines = F.flatten(F.transform(F.split(lowered, "\n"), lambda line: windows(_words(_spaced(line)))))
+    return F.when(F.contains(lowered, F.lit("\n")), F.concat(windows(_words(spaced)), lines)).otherwise(windows(_words(spaced)))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -125,7 +138,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
 
     # Templates: only rows that hold a prefix word are cut into blocks.
     hopeful = F.arrays_overlap(_words(F.col("_s")), rare)
-    blocks = F.filter(_blocks(F.col("_low")), lambda b: F.arrays_overlap(b, rare))
+    blocks = F.filter(_blocks(F.col("_low"), F.col("_s")), lambda b: F.arrays_overlap(b, rare))
     blocks = F.transform(blocks, lambda b: F.array_intersect(b, vocabulary))
     rows = rows.withColumn("_b", F.when(hopeful, blocks).otherwise(F.array().cast("array<array<string>>")))
 

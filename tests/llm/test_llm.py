@@ -310,3 +310,13 @@ def test_whole_queries_skip_no_document(monkeypatch):
                 found, scores = shard.best(own[~small], own[small], 10, least)
                 want = np.flatnonzero(full >= max(least, np.sort(full)[-10]) - 1e-9)
                 assert found.tolist() == want.tolist() and scores == pytest.approx(full[want])
+
+
+def test_license_blocks_cross_line_breaks(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted"
+    gpl = "you can redistribute it and/or modify\nit under the terms of the GNU General\nPublic License"
+    rest = "Redistributions of source code must retain the above copyright\n * notice, this list of conditions and the following disclaimer."
+    texts = [bsd, f"{'word ' * 45}\n{bsd}\n{'word ' * 90}", gpl, rest, "source\nand binary\nforms"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.labels for r in licenses.scan(d).orderBy("doc_id").collect()] == ["bsd", "bsd", "gpl", "bsd", ""]
+    assert all(len(t.split()) <= licenses.BLOCK // 2 for _, t in licenses.TEMPLATES)
