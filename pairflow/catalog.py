@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,39 +21,56 @@ from pyspark.sql import functions as F
 from pairflow.functions import WORD_DELIMITER, format_row, tokens, words
 from pairflow.operators import (
     Split,
+    aggregate_by_key,
     apply_transform,
+    checked,
     cogroup,
     cogroup_apply,
-    cogroup_many,
+    cogroup_grid,
     cogroup_split,
+    cogroup_stream,
+    combine_by_key,
     count_by_value,
     filter_rows,
     flat_map,
     flat_map_pandas,
     group_by_key,
+    group_stream,
     group_then_fold,
     join,
     key_value,
     map_pandas,
     map_partitions,
     map_rows,
+    map_workers,
     multiset_diff,
+    multiset_digest,
     observed,
     pair_with,
     reduce_by_key,
     reduce_by_key_pandas,
     sum_by_key,
+    table_function,
 )
 from pairflow.operators.skew import materialize
-from pairflow.sources import rows_to_df, table
+from pairflow.sources import rows_to_df, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # ---------------------------------------------------------------- helpers
 
 def documents(spark: SparkSession, d: str, *cols: str) -> DataFrame:
-    """The text column and ``cols`` of ``documents``."""
-    return table(spark, d, "documents").select("doc_id", "text", *cols)
+    """The text column and ``cols`` of ``documents``, dealt by id.
+
+    A Parquet split is one row group at least, and tokenising a text costs far
+    more than moving it, so text queries deal the documents over all tasks first,
+    whatever the size and layout of the table."""
+    docs = table(spark, d, "documents").select("doc_id", "text", *cols)
+    return spread_out(spark, docs, "doc_id")
+
+
+def spread_out(spark: SparkSession, df: DataFrame, *by: str) -> DataFrame:
+    return spread(df, int(spark.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
 def doc_words(spark: SparkSession, d: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -63,15 +81,6 @@ def doc_word_counts(spark: SparkSession, d: str) -> DataFrame:
     return count_by_value(doc_words(spark, d), ["word"], "n")
 
 
-def doc_word_counts_table(spark: SparkSession, d: str) -> DataFrame:
-    """Word counts written once into the checkpoint folder.
-
-    The skew-safe outer joins read their inputs twice or more; the table of
-    distinct words is far smaller than the text at any scale, so writing it
-    once beats tokenising every document again."""
-    return materialize(doc_word_counts(spark, d))
-
-
 def bench_words(spark: SparkSession, d: str) -> DataFrame:
     """(word, item_id): each benchmark item once per word it contains."""
     return words(table(spark, d, "benchmark"), "text", "word", ("item_id",)).distinct()
@@ -256,6 +265,73 @@ def q_reduce_opaque(spark, d):
     return reduce_by_key_pandas(li, "l_suppkey", "v", _gcd)
 
 
+def _no_cents():
+    return {"n": 0, "total": 0, "least": None, "most": None}
+
+
+def _add_cents(acc, batch):
+    cents = batch.column(0)
+    both = pc.min_max(cents).as_py()
+    return _merge_cents(acc, {"n": len(cents), "total": pc.sum(cents).as_py(), "least": both["min"], "most": both["max"]})
+
+
+def _merge_cents(a, b):
+    ends = [x for x in (a["least"], a["most"], b["least"], b["most"]) if x is not None]
+    return {"n": a["n"] + b["n"], "total": a["total"] + b["total"], "least": min(ends), "most": max(ends)}
+
+
+def cents(spark: SparkSession, d: str) -> DataFrame:
+    price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return table(spark, d, "lineitem").select("l_suppkey", price.alias("cents"))
+
+
+def q_combine_mean_range(spark, d):
+    """combineByKey: the exact mean and the range of each supplier's prices, in
+    cents, by a user accumulator (count, total, least, most)."""
+    found = combine_by_key(
+        cents(spark, d),
+        "l_suppkey",
+        "cents",
+        _no_cents,
+        _add_cents,
+        _merge_cents,
+        lambda a: {"mean": a["total"] / a["n"], "range": a["most"] - a["least"]},
+        "struct<n:bigint,total:bigint,least:bigint,most:bigint>",
+        "m",
+        "struct<mean:double,range:bigint>",
+    )
+    return found.select("l_suppkey", "m.mean", "m.range")
+
+
+def q_aggregate_mean_range(spark, d):
+    """The same with an accumulator of built-in aggregates."""
+    parts = {"n": F.count("cents"), "total": F.sum("cents"), "least": F.min("cents"), "most": F.max("cents")}
+    found = aggregate_by_key(
+        cents(spark, d),
+        "l_suppkey",
+        parts,
+        lambda a: F.struct((a["total"].cast("double") / a["n"].cast("double")).alias("mean"), (a["most"] - a["least"]).alias("range")),
+        "m",
+    )
+    return found.select("l_suppkey", "m.mean", "m.range")
+
+
+def _longest_gap(key, batches):
+    """Number of documents of a word, and the widest gap between their ids."""
+    last, n, gap = None, 0, 0
+    for batch in batches:
+        ids = batch.column(0).to_numpy()
+        steps = ids[1:] - ids[:-1]
+        gap = max(gap, int(steps.max()) if len(steps) else 0, 0 if last is None else int(ids[0]) - last)
+        last, n = int(ids[-1]), n + len(ids)
+    yield (key[0], n, gap)
+
+
+def q_group_stream_words(spark, d):
+    """groupByKey read as a stream: a fold over each word's documents in order."""
+    return group_stream(doc_of_words(spark, d), "word", "doc_id", _longest_gap, "word string, n_docs bigint, gap bigint", order=["doc_id"])
+
+
 # ---------------------------------------------------------------- A5 A7 A8
 
 def q_set_union(spark, d):
@@ -356,18 +432,31 @@ def q_cogroup_split_words(spark, d):
 
 def conv_words(spark: SparkSession, d: str) -> DataFrame:
     """(word, conv_id): each conversation once per word it contains."""
-    conv = table(spark, d, "conversations").select("conv_id", "text")
+    conv = spread_out(spark, table(spark, d, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn")
     return words(conv, "text", "word", ("conv_id",)).distinct()
 
 
 def q_cogroup_three_words(spark, d):
-    """n-way cogroup: documents' word counts, benchmark items and conversations per word."""
-    return cogroup_many(
-        [(doc_word_counts(spark, d), "n"), (bench_words(spark, d), "item_id"), (conv_words(spark, d), "conv_id")],
+    """n-way cogroup of documents' word counts, benchmark items and conversations
+    per word, in chunks of bounded size: the tuples of values met, and the values
+    of each side, counted once per chunk."""
+    grid = cogroup_grid(
+        [
+            (doc_word_counts(spark, d), "n", None),
+            (bench_words(spark, d), "item_id", Split(by=("item_id",), max_rows=100, parts=1)),
+            (conv_words(spark, d), "conv_id", Split(by=("conv_id",), max_rows=1000, parts=8)),
+        ],
         "word",
         ["vs", "ws", "zs"],
-        sort=True,
     )
+    sizes = [F.size(c).cast("bigint") for c in ("vs", "ws", "zs")]
+
+    def values(i, size):
+        chunks = F.collect_set(F.struct(f"chunk_{i}", size.alias("n")))
+        return F.aggregate(chunks, F.lit(0).cast("bigint"), lambda a, c: a + c["n"])
+
+    counts = [values(i, n).alias(name) for i, (n, name) in enumerate(zip(sizes, ("n_counts", "n_items", "n_convs")))]
+    return grid.groupBy("word").agg(*counts, F.sum(sizes[0] * sizes[1] * sizes[2]).alias("tuples"))
 
 
 def _spread_of(key, vs, ws):
@@ -380,12 +469,21 @@ def q_cogroup_apply_words(spark, d):
     return cogroup_apply(cg, "word", ("vs", "ws"), _spread_of, "word string, n bigint, median_item bigint")
 
 
+def _stream_of(key, items, counts):
+    """The same answer with the counts read as a stream past the held items."""
+    total = sum(pc.sum(batch.column(0)).as_py() for batch in counts)
+    yield (key[0], total, sorted(items)[len(items) // 2] if items else None)
+
+
+def q_cogroup_stream_words(spark, d):
+    return cogroup_stream(
+        bench_words(spark, d), doc_word_counts(spark, d), "word", "item_id", "n", _stream_of, "word string, n bigint, median_item bigint"
+    )
+
+
 def _join(how):
     def q(spark, d):
-        # The outer joins read each side more than once, so they read the
-        # written word-count table, not the text.
-        counts = doc_word_counts(spark, d) if how == "inner" else doc_word_counts_table(spark, d)
-        return join(counts, bench_words(spark, d), "word", how)
+        return join(doc_word_counts(spark, d), bench_words(spark, d), "word", how)
 
     return q
 
@@ -403,6 +501,55 @@ def q_multiset_diff(spark, d):
     return multiset_diff(expected, actual)
 
 
+def q_multiset_digest_routes(spark, d):
+    """Counts and digests of two routes of the word count, and whether they agree."""
+    a = multiset_digest(q_wordcount_reduce(spark, d)).withColumn("route", F.lit("reduce"))
+    b = multiset_digest(q_wordcount_sum(spark, d)).withColumn("route", F.lit("sum"))
+    both = a.unionByName(b)
+    one = both.agg((F.count_distinct("digest") == 1).alias("same"))
+    return both.select("route", "n").join(one)
+
+
+def q_checked_word_count(spark, d):
+    """The word count, whose job fails if its rows aren't those of another route."""
+    return checked(doc_word_counts(spark, d), q_wordcount_sum(spark, d))
+
+
+class LongWords:
+    """Counts long words by initial and length: rows of ``eval`` are documents of
+    one partition, ``terminate`` hands on its counts."""
+
+    def __init__(self):
+        self.counts = {}
+
+    def eval(self, row):
+        for w in _PY_DELIM.split((row["text"] or "").lower()):
+            if len(w) >= 10:
+                self.counts[w[0], len(w)] = self.counts.get((w[0], len(w)), 0) + 1
+
+    def terminate(self):
+        for (initial, length), n in self.counts.items():
+            yield initial, length, n
+
+
+def q_table_function_words(spark, d):
+    """flatMap by a table function: long words per document, then added up."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = table_function(docs, LongWords, "initial string, len int, n bigint", "doc_id")
+    return found.groupBy("initial", "len").agg(F.sum("n").alias("n"))
+
+
+def _tally_rows(state, pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"n_rows": [len(pdf)], "sum_linenumber": [int(pdf["l_linenumber"].sum())]})
+
+
+def q_worker_stats(spark, d):
+    """A state per worker process; the totals don't depend on which tasks share one."""
+    li = table(spark, d, "lineitem").select("l_linenumber")
+    per_batch, _ = map_workers(li, _tally_rows, "n_rows bigint, sum_linenumber bigint", setup=dict, teardown=dict.clear)
+    return per_batch.agg(F.sum("n_rows").alias("n_rows"), F.sum("sum_linenumber").alias("sum_linenumber"))
+
+
 def _start_bundle(state) -> None:
     state["rows"] = state["sum"] = 0
 
@@ -474,6 +621,14 @@ QUERIES: dict[str, Query] = {
     "format_join": q_format_join,
     "multiset_diff": q_multiset_diff,
     "partition_stats": q_partition_stats,
+    "combine_mean_range": q_combine_mean_range,
+    "aggregate_mean_range": q_aggregate_mean_range,
+    "group_stream_words": q_group_stream_words,
+    "cogroup_stream_words": q_cogroup_stream_words,
+    "multiset_digest_routes": q_multiset_digest_routes,
+    "checked_word_count": q_checked_word_count,
+    "table_function_words": q_table_function_words,
+    "worker_stats": q_worker_stats,
 }
 
 
@@ -495,14 +650,22 @@ ORACLE: dict[str, str] = {
     "format_counts": f"select word || ' ' || cast(n as varchar) as s from {WORD_COUNTS}",
     "word_lengths_pandas": f"select length(word)::bigint as len, count(*)::bigint as n from {DOC_WORDS} group by 1",
     "cogroup_three_words": f"""
-        select word,
-               coalesce(list(n order by n) filter (where t = 0), []) as vs,
-               coalesce(list(item_id order by item_id) filter (where t = 1), []) as ws,
-               coalesce(list(conv_id order by conv_id) filter (where t = 2), []) as zs
-        from (select word, n, null::bigint as item_id, null::bigint as conv_id, 0 as t from {WORD_COUNTS}
-              union all select word, null, item_id, null, 1 from {BENCH_WORDS}
-              union all select word, null, null, conv_id, 2 from {CONV_WORDS})
+        select word, sum(c)::bigint as n_counts, sum(b)::bigint as n_items, sum(v)::bigint as n_convs,
+               (sum(c) * sum(b) * sum(v))::bigint as tuples
+        from (select word, 1 as c, 0 as b, 0 as v from {WORD_COUNTS}
+              union all select word, 0, 1, 0 from {BENCH_WORDS}
+              union all select word, 0, 0, 1 from {CONV_WORDS})
         group by word""",
+    "combine_mean_range": """
+        select l_suppkey, sum(c)::bigint::double / count(*)::double as mean, (max(c) - min(c))::bigint as range
+        from (select l_suppkey, round(l_extendedprice * 100)::bigint as c from lineitem) group by l_suppkey""",
+    "group_stream_words": f"""
+        select word, count(*)::bigint as n_docs, coalesce(max(step), 0)::bigint as gap
+        from (select word, doc_id - lag(doc_id) over (partition by word order by doc_id) as step
+              from (select distinct word, doc_id from {DOC_WORDS})) group by word""",
+    "multiset_digest_routes": f"""
+        select r as route, (select count(*) from {WORD_COUNTS})::bigint as n, true as same
+        from (values ('reduce'), ('sum')) t(r)""",
     "count_by_value_cols": """
         select c_mktsegment, c_nationkey, count(*)::bigint as n from customer group by 1, 2""",
     "group_by_key": """
@@ -605,5 +768,10 @@ for _alias, _same in {
     "wordcount_sum": "count_by_value_words",
     "wordcount_transform_chain": "count_by_value_words",
     "flat_map_pandas_tokens": "flat_map_tokens",
+    "aggregate_mean_range": "combine_mean_range",
+    "cogroup_stream_words": "cogroup_apply_words",
+    "checked_word_count": "count_by_value_words",
+    "table_function_words": "map_filter_flat_map",
+    "worker_stats": "partition_stats",
 }.items():
     ORACLE[_alias] = ORACLE[_same]

@@ -4,7 +4,8 @@ One tagged union and one ``groupBy``: a single exchange, one row for a key
 seen on either side, a missing side is ``[]`` (never null), null keys are one
 group and null values survive (each value is wrapped in a struct).  If one
 side has keys too large for a list, ``cogroup_split`` splits that side, and
-every chunk carries the whole list of the other.
+every chunk carries the whole list of the other.  ``cogroup_grid`` splits any
+of n sides: a key's rows are the product of its chunks.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import functions as F
 
 from pairflow.operators.grouping import group_by_key
+from pairflow.operators.joins import join
 from pairflow.operators.skew import Split, as_list, refuse
 
 
@@ -91,6 +93,32 @@ def cogroup_split(
     return rows.unionByName(alone).select(*keys, "chunk", F.col(x).alias(outs[0]), F.col(y).alias(outs[1]))
 
 
+def cogroup_grid(sides: Sequence[tuple], keys, outs: Sequence[str], sort: bool = False) -> DataFrame:
+    """Cogroup n inputs of which several may be hot: ``keys..., chunk_0, out_0, ...``.
+
+    ``sides`` has (DataFrame, value columns, ``Split`` or None).  Every side comes
+    in chunks of bounded size (without a ``Split`` a key is one chunk), and a key
+    has one row per combination of its sides' chunks, so each tuple of values
+    meets in exactly one row and no row holds more than a chunk of each side.  A
+    side that lacks the key has a null chunk and ``[]``.  Null keys are one group.
+
+    The sides' chunks meet in inner joins only, both sides of which AQE splits
+    for a hot key: each side first gets a row for every key that it lacks.
+    """
+    keys = as_list(keys)
+    refuse(sides[0][0], keys, *[f"chunk_{i}" for i in range(len(sides))], *[o.lower() for o in outs])
+    every = reduce(lambda a, b: a.unionByName(b), [df.select(*keys) for df, *_ in sides]).distinct()
+    grid = None
+    for i, ((df, values, split), out) in enumerate(zip(sides, outs)):
+        g = group_by_key(df, keys, values, out=out, sort=sort, split=split)
+        name = F.col("chunk") if split else F.lit("0")
+        g = g.select(*keys, name.alias(f"chunk_{i}"), out)
+        kind = g.schema[out].dataType
+        g = join(every, g, keys, "left", null_safe=True).withColumn(out, F.coalesce(out, F.array().cast(kind)))
+        grid = g if grid is None else join(grid, g, keys, "inner", null_safe=True)
+    return grid
+
+
 def cogroup_apply(
     cogrouped: DataFrame,
     keys,

@@ -12,11 +12,14 @@ import math
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.window import Window
 
+from pairflow.operators.batches import hashable, runs, windows
 from pairflow.operators.skew import Split, as_list, refuse, with_chunks
 
 # Reducers with a built-in aggregate: partial aggregation, codegen, no lists.
@@ -70,22 +73,68 @@ def group_by_key(df: DataFrame, keys, values, out: str = "values", sort: bool =
     return grouped.select(*keys, *extra[1:], (F.sort_array(vals) if sort else vals).alias(out))
 
 
-def _two_level(df: DataFrame, keys: list[str], value: str, reduce: Callable[[Column], Column], out: str, spread: int) -> DataFrame:
-    """Reduce the values of each (key, part), then the parts' results of each
-    key: at most ``spread`` of them.  The part comes from the task and the
-    value, so a key's repeats in many tasks are dealt out too."""
-    refuse(df, keys, "_s", "_r")
-    bare = _bare(df, [value])
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), F.col(value)), F.lit(spread))
-    parts = _gather(df.withColumn("_s", salt), keys, [value], ["_s"]).select(*keys, _unwrap([value], bare).alias("_xs"))
-    parts = parts.select(*keys, F.struct(reduce(F.col("_xs")).alias("_x")).alias("_r"))
-    lists = parts.groupBy(*keys).agg(F.collect_list("_r").alias("_r"))
-    lists = lists.select(*keys, F.transform("_r", lambda r: r["_x"]).alias("_xs"))
-    return lists.select(*keys, reduce(F.col("_xs")).alias(out))
+# Values that a list of an expression reduction holds at most.
+FAN_IN = 2048
+
+
+def _runs(df: DataFrame, keys: list[str], value: str, fan_in: int) -> DataFrame:
+    """(keys, _xs): the values that a window of a task's rows has for a key, in
+    lists of at most ``fan_in``; made inside the task, without an exchange."""
+    nk = len(keys)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for window in windows(batches):
+            order, starts = runs([window.column(i) for i in range(nk)])
+            ends = np.r_[starts[1:], len(order)]
+            cuts = -(-(ends - starts) // fan_in)
+            within = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+            lists = np.repeat(starts, cuts) + fan_in * within
+            firsts = pa.array(order[lists])
+            offsets = pa.array(np.r_[lists, len(order)].astype(np.int32))
+            xs = pa.ListArray.from_arrays(offsets, window.column(nk).take(pa.array(order)))
+            cols = [window.column(i).take(firsts) for i in range(nk)]
+            yield pa.RecordBatch.from_arrays([*cols, xs], names=[*keys, "_xs"])
+
+    fields = [df.schema[k] for k in keys] + [StructField("_xs", ArrayType(df.schema[value].dataType, True), True)]
+    return df.select(*keys, value).mapInArrow(gather, StructType(fields))
+
+
+def _tree(df: DataFrame, keys: list[str], value: str, reduce: Callable[[Column], Column], out: str, spread: int, fan_in: int) -> DataFrame:
+    """Reduce each key's values in a tree of lists of at most ``fan_in``.
+
+    Two levels inside the task, before any exchange: the lists of a window, then
+    the lists of these results.  Partial results meet on (key, part), are
+    numbered there, and go up ``fan_in`` at a time until one is left; the same
+    partitioning serves every level.  The depth covers as many partial results
+    as a row number can count, so it doesn't depend on the data.
+    """
+    if fan_in < 2 or spread < 1:
+        raise ValueError("fan_in must be at least 2, spread at least 1")
+    refuse(df, keys, "_x", "_xs", "_n", "_s")
+    kind = df.schema[value].dataType
+    rows = df.select(*keys, F.col(value).alias("_x"))
+    for _ in range(2):
+        rows = _runs(rows, keys, "_x", fan_in).select(*keys, reduce(F.col("_xs")).cast(kind).alias("_x"))
+    rows = rows.withColumn("_s", F.pmod(F.spark_partition_id(), F.lit(spread)))
+    by = [*keys, "_s"] if spread > 1 else keys
+    number = F.row_number().over(Window.partitionBy(*by).orderBy(F.lit(0))) - 1
+    rows = rows.select(*by, number.alias("_n"), F.struct("_x").alias("_x"))
+
+    def up(rows: DataFrame, by: list) -> DataFrame:
+        lists = rows.groupBy(*by).agg(F.collect_list("_x").alias("_xs"))
+        return lists.withColumn("_x", F.struct(reduce(F.transform("_xs", lambda r: r["_x"])).cast(kind).alias("_x"))).drop("_xs")
+
+    for _ in range(math.ceil(31 / math.log2(fan_in)) - 1):
+        rows = up(rows.withColumn("_n", F.floor(F.col("_n") / fan_in)), [*by, "_n"])
+    rows = up(rows, by)  # at most fan_in numbers are left
+    if spread > 1:
+        rows = rows.withColumn("_n", F.floor(F.col("_s") / fan_in))
+        rows = up(up(rows, [*keys, "_n"]) if spread > fan_in else rows, keys)
+    return rows.select(*keys, F.col("_x")["_x"].alias(out))
 
 
 def group_then_fold(
-    df: DataFrame, keys, value: str, zero: Column | None, op: str | Callable[[Column, Column], Column], out: str, spread: int = 32
+    df: DataFrame, keys, value: str, zero: Column | None, op: str | Callable[[Column, Column], Column], out: str, spread: int = 1, fan_in: int = FAN_IN
 ) -> DataFrame:
     """groupByKey followed by a fold of each list (A3 + P6).
 
@@ -96,7 +145,7 @@ def group_then_fold(
     keys = as_list(keys)
     if isinstance(op, str):
         return reduce_by_key(df, keys, value, op, out)
-    return _two_level(df, keys, value, lambda xs: F.aggregate(xs, zero, op), out, spread)
+    return _tree(df, keys, value, lambda xs: F.aggregate(xs, zero, op), out, spread, fan_in)
 
 
 def _reduce_list(xs: Column, f: Callable[[Column, Column], Column], kind) -> Column:
@@ -105,15 +154,18 @@ def _reduce_list(xs: Column, f: Callable[[Column, Column], Column], kind) -> Col
 
 
 def reduce_by_key(
-    df: DataFrame, keys, value: str, f: str | Callable[[Column, Column], Column], out: str | None = None, spread: int = 32
+    df: DataFrame, keys, value: str, f: str | Callable[[Column, Column], Column], out: str | None = None, spread: int = 1, fan_in: int = FAN_IN
 ) -> DataFrame:
     """reduceByKey with an associative, commutative ``f``.
 
     * ``f`` names a built-in (``sum``, ``max``, ``min``, ``bit_or``, ...; max
       and min order structs too): partial aggregate, one exchange, no lists.
-    * ``f`` is a function of two Columns returning a Column: each key's values
-      are dealt to ``spread`` parts, gathered and reduced there, and the parts'
-      results are reduced again.  The result keeps the value's type.
+    * ``f`` is a function of two Columns returning a Column: a tree of lists
+      with at most ``fan_in`` values each, at any key size.  Its first two levels
+      are inside the task, so partial results cross the exchange, not values;
+      ``spread`` parts per key (one by default) deal these over several tasks.
+      ``f`` stays a Spark expression; Arrow only brings equal keys together.
+      The result keeps the value's type.
 
     A key with a single value returns it without calling ``f``.  For opaque
     Python functions use ``reduce_by_key_pandas``.
@@ -125,25 +177,13 @@ def reduce_by_key(
             raise ValueError(f"unknown built-in reducer {f!r}; known: {sorted(BUILTIN_REDUCERS)}")
         return df.groupBy(*keys).agg(BUILTIN_REDUCERS[f](F.col(value)).alias(out))
     kind = df.schema[value].dataType
-    return _two_level(df, keys, value, lambda xs: _reduce_list(xs, f, kind), out, spread)
+    return _tree(df, keys, value, lambda xs: _reduce_list(xs, f, kind), out, spread, fan_in)
 
 
 # Number of distinct keys a map task folds before it flushes its partial results.
 PARTIAL_FLUSH_KEYS = 100_000
 
 
-def _hashable(v):
-    """A dictionary key that is equal where Spark's grouping is: all NaNs are
-    one key, and so are both zeros; arrays, structs and maps go by content."""
-    if isinstance(v, float):
-        return "NaN" if math.isnan(v) else v + 0.0
-    if isinstance(v, dict):
-        return ("map", *sorted(((_hashable(k), _hashable(x)) for k, x in v.items()), key=repr))
-    if isinstance(v, (list, tuple)):
-        return ("list", *(_hashable(x) for x in v))
-    return v
-
-
 def reduce_by_key_pandas(
     df: DataFrame,
     keys,
@@ -183,7 +223,7 @@ def reduce_by_key_pandas(
         for batch in batches:
             arrow_schema = batch.schema
             for k, v in rows_of(batch):
-                h = _hashable(k)
+                h = hashable(k)
                 acc[h] = (k, fn(acc[h][1], v) if h in acc else v)
             if len(acc) >= PARTIAL_FLUSH_KEYS:
                 yield emit(acc, arrow_schema)

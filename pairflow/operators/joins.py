@@ -9,17 +9,26 @@ sort-merge with AQE splitting skewed partitions.
 AQE splits both sides of an inner join, only the left side of a left or
 left-anti join, only the right side of a right join, and neither side of a
 full join.  So an outer join is the inner join plus the rows without a match,
-found by a left-anti join against the other side's distinct keys: a hot key on
-either side is split, at the cost of reading both sides again.  Where the
+found by a left-anti join against the other side's keys, one row per key and
+task before they are shuffled: a hot key on either side is split.  Where the
 caller declares with ``unique`` that the other side's keys are unique, it can
 have no hot key, and the plain join is used.
+
+Both parts work on the same shuffled rows.  Left alone, Catalyst would push
+the anti join below a side's aggregation, or drop the value columns of the
+lookup, and then compute that side once more per part.  A condition that holds
+for every row but names a value column of each side keeps the parts' inputs
+alike, so Spark reuses their exchanges: a side that comes out of a shuffle is
+read and shuffled once.  A side that is a mere scan has its keys alone read
+again for the lookup.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
@@ -33,11 +42,31 @@ def _check(left: DataFrame, right: DataFrame, keys: list[str]) -> None:
         for k in keys:
             if isinstance(df.schema[k].dataType, MapType):
                 raise TypeError(f"join: map column {k!r} on the {side} side cannot be a join key; use cogroup")
+    if "_any" in [c.lower() for c in (*left.columns, *right.columns)]:
+        raise ValueError("join: the column name '_any' is reserved")
     clash = (set(left.columns) & set(right.columns)) - set(keys)
     if clash:
         raise ValueError(f"join: non-key columns on both sides: {sorted(clash)}; rename one side")
 
 
+# Nodes of a logical plan below which rows are shuffled.
+SHUFFLES = re.compile(r"\b(Aggregate|Join|Window|RepartitionByExpression|Repartition|Sort|Intersect|Except)\b")
+LEAST = -(1 << 63)
+
+
+def _shuffled(df: DataFrame) -> bool:
+    return bool(SHUFFLES.search(df._jdf.queryExecution().optimizedPlan().toString()))
+
+
+def _some(vals: list[str]) -> Column:
+    """A number made of the value columns (maps can't be hashed, so their entries)."""
+    return F.xxhash64(*vals) if vals else F.lit(0).cast("bigint")
+
+
+def _names(df: DataFrame, vals: list[str]) -> list:
+    return [F.map_entries(c) if isinstance(df.schema[c].dataType, MapType) else F.col(c) for c in vals]
+
+
 def join(left: DataFrame, right: DataFrame, keys, how: str = "inner", null_safe: bool = False, unique: str | None = None) -> DataFrame:
     """Equi-join on ``keys``; ``null_safe`` lets null keys match each other.
     ``unique`` ("left", "right" or "both"): sides on which no key repeats."""
@@ -59,9 +88,14 @@ def join(left: DataFrame, right: DataFrame, keys, how: str = "inner", null_safe:
         return df.select(*[F.col(f"_{key_side}_{k}").alias(k) for k in keys], *lvals, *rvals)
 
     def alone(side: str) -> DataFrame:
-        own, other, lost, kept = (l, r, rvals, right) if side == "l" else (r, l, lvals, left)
-        gone = "r" if side == "l" else "l"
-        rest = own.join(other.select(*[f"_{gone}_{k}" for k in keys]).distinct(), cond, "left_anti")
+        own, other, vals, lost, kept = (l, r, lvals, rvals, right) if side == "l" else (r, l, rvals, lvals, left)
+        gone = [f"_{'r' if side == 'l' else 'l'}_{k}" for k in keys]
+        if not lost or not _shuffled(other):
+            rest = own.join(other.select(*gone).distinct(), cond, "left_anti")
+        else:
+            held = other.groupBy(*gone).agg(F.bit_xor(_some(_names(other, lost))).alias("_any"))
+            always = (_some(_names(own, vals)) >= LEAST) | (F.col("_any") >= LEAST)
+            rest = own.join(held, cond & always, "left_anti")
         return out(rest.select("*", *[F.lit(None).cast(kept.schema[c].dataType).alias(c) for c in lost]), side)
 
     if how == "left" and unique in ("right", "both"):

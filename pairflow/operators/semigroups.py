@@ -22,6 +22,8 @@ from pyspark.sql.types import (
     BooleanType,
     DataType,
     DecimalType,
+    DoubleType,
+    FloatType,
     FractionalType,
     IntegralType,
     MapType,
@@ -84,6 +86,10 @@ def sum_by_key(
             elems = df.select(*keys, F.posexplode_outer(v).alias("_p", "_e"))
         else:
             elems = df.select(*keys, F.lit(0).alias("_p"), v.alias("_e"))
+        kind = dt.elementType if isinstance(dt, ArrayType) else dt
+        if isinstance(kind, (FloatType, DoubleType)):
+            # both zeros are one element, as they are one grouping key
+            elems = elems.withColumn("_e", F.when(F.col("_e") == 0, F.lit(0.0).cast(kind)).otherwise(F.col("_e")))
         held = F.collect_set(F.when(F.col("_p").isNotNull(), F.struct("_e")))
         return elems.groupBy(*keys).agg(F.transform(held, lambda x: x["_e"]).alias(out))
 
