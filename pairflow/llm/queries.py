@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairflow.llm import bpe, iblt, langid, licenses, mixing, packing, search, simhash, toxicity, wordpiece
+from pairflow.llm import bpe, fim, iblt, langid, licenses, mixing, packing, repair, search, sharding, simhash, toxicity, wordpiece
 from pairflow.llm.base import documents, fold, labels
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -80,6 +80,38 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.read.parquet(f"{d.rstrip('/')}/conversations.parquet")
+    turns = repair.turns_of(repair.damaged(rows), "conv", "turn", "role", "text", "present")
+    return repair.digests(turns, repair.audits(turns)).withColumnRenamed("conv", "conv_id")
+
+
+def op12_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    rows = fim.transform(documents(spark, d))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op13_sharding(spark: SparkSession, d: str) -> DataFrame:
+    rows = sharding.assign(documents(spark, d))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        F.col("crc").alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -93,6 +125,26 @@ QUERIES = {
         op8_document_fingerprints,
         op9_license_scan,
         op10_toxicity,
+        op11_conversation_repair,
+        op12_fill_in_middle,
+        op13_sharding,
     )
 }
-ORACLE: dict = {}
+ORACLE: dict = {
+    "op12_fill_in_middle": """
+        with d as (select doc_id, coalesce(text, '') as t, sha256('7:' || doc_id) as h from documents),
+        l as (select *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') as ls,
+                     [('0x' || h[8 * i - 7 : 8 * i])::bigint for i in range(1, 5)] as r from d),
+        c as (select *, len(ls) as n, least(r[1] % (len(ls) + 1), r[2] % (len(ls) + 1)) as a,
+                     greatest(r[1] % (len(ls) + 1), r[2] % (len(ls) + 1)) as b from l),
+        p as (select doc_id, t, n, array_to_string(ls[1 : a], '') as p, array_to_string(ls[a + 1 : b], '') as m,
+                     array_to_string(ls[b + 1 : n], '') as s,
+                     case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or r[3] % 100 >= 100 then 'plain'
+                          when r[4] % 100 < 50 then 'spm' else 'psm' end as form from c)
+        select doc_id, n::bigint as n, form, case when form <> 'plain' then length(p) end::bigint as prefix_chars,
+               case when form <> 'plain' then length(m) end::bigint as middle_chars,
+               sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                      else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+               sha256(t) as restored_sha256
+        from p""",
+}
