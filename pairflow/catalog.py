@@ -399,6 +399,32 @@ def q_sum_optional(spark, d):
     return sum_by_key(ev, "user_id", "purchases")
 
 
+def q_sum_nested_struct(spark, d):
+    """A struct of a number, a map of numbers and a set, in one aggregation; flattened."""
+    li = table(spark, d, "lineitem").select(
+        "l_suppkey",
+        F.struct(
+            F.col("l_linenumber").alias("lines"),
+            F.create_map("l_returnflag", F.struct(F.lit(1).cast("bigint").alias("n"), F.col("l_linenumber").alias("lines"))).alias("flags"),
+            F.array("l_linestatus").alias("statuses"),
+        ).alias("v"),
+    )
+    s = sum_by_key(li, "l_suppkey", "v", arrays="set", flat=True)
+    one = F.explode("v_flags").alias("flag", "f")
+    return s.select("l_suppkey", "v_lines", F.concat_ws(",", F.array_sort("v_statuses")).alias("statuses"), one).select(
+        "l_suppkey", "v_lines", "statuses", "flag", F.col("f.n").alias("n"), F.col("f.lines").alias("lines")
+    )
+
+
+def q_sum_nested_map(spark, d):
+    """A map of maps of sets: per user, event type and hour the days seen; flattened."""
+    hours = F.create_map(F.hour("ts"), F.array(F.dayofmonth("ts")))
+    ev = table(spark, d, "events").select("user_id", F.create_map("event_type", hours).alias("m"))
+    s = sum_by_key(ev, "user_id", "m", arrays="set", flat=True)
+    s = s.select("user_id", F.col("m_key").alias("event_type"), F.explode("m_value").alias("hour", "days"))
+    return s.select("user_id", "event_type", "hour", F.array_sort("days").alias("days"))
+
+
 def q_group_nested_pair(spark, d):
     li = table(spark, d, "lineitem")
     g = group_by_key(li, "l_orderkey", ["l_partkey", "l_suppkey"], out="pairs", sort=True)
@@ -629,6 +655,8 @@ QUERIES: dict[str, Query] = {
     "checked_word_count": q_checked_word_count,
     "table_function_words": q_table_function_words,
     "worker_stats": q_worker_stats,
+    "sum_nested_struct": q_sum_nested_struct,
+    "sum_nested_map": q_sum_nested_map,
 }
 
 
@@ -659,6 +687,15 @@ ORACLE: dict[str, str] = {
     "combine_mean_range": """
         select l_suppkey, sum(c)::bigint::double / count(*)::double as mean, (max(c) - min(c))::bigint as range
         from (select l_suppkey, round(l_extendedprice * 100)::bigint as c from lineitem) group by l_suppkey""",
+    "sum_nested_struct": """
+        select f.l_suppkey, t.v_lines, t.statuses, f.flag, f.n, f.lines
+        from (select l_suppkey, l_returnflag as flag, count(*)::bigint as n, sum(l_linenumber)::bigint as lines
+              from lineitem group by 1, 2) f
+        join (select l_suppkey, sum(l_linenumber)::bigint as v_lines, string_agg(distinct l_linestatus, ',' order by l_linestatus) as statuses
+              from lineitem group by 1) t on f.l_suppkey = t.l_suppkey""",
+    "sum_nested_map": """
+        select user_id, event_type, hour(ts)::int as hour, list_sort(list_distinct(list(dayofmonth(ts)::int))) as days
+        from events group by 1, 2, 3""",
     "group_stream_words": f"""
         select word, count(*)::bigint as n_docs, coalesce(max(step), 0)::bigint as gap
         from (select word, doc_id - lag(doc_id) over (partition by word order by doc_id) as step

@@ -2,8 +2,9 @@
 
 | value type            | plus                                 | plan                                  |
 | integral / decimal / float | +                               | partial ``sum`` (nulls skipped)       |
-| struct                | field by field, recursively          | one partial aggregate                 |
-| map                   | merge keys, plus on values           | explode, partial sum per (key, map key) |
+| struct of numbers     | field by field, recursively          | one partial aggregate                 |
+| map to numbers        | merge keys, plus on values           | explode, partial sum per (key, map key) |
+| struct or map of others | by type all the way down           | ``nested``: partial sum per address   |
 | array, ``"list"``     | concatenation (order undefined)      | explode, gather (``split``: chunks)    |
 | array, ``"set"``      | union                                | explode, partial ``collect_set``      |
 | any, ``"max"``/``"min"`` | larger / smaller                  | partial ``max`` / ``min``             |
@@ -32,6 +33,7 @@ from pyspark.sql.types import (
 )
 
 from pairflow.operators.grouping import group_by_key
+from pairflow.operators.nested import nested_sum
 from pairflow.operators.skew import Split, as_list, refuse
 
 
@@ -39,16 +41,19 @@ def _is_numeric(dt: DataType) -> bool:
     return isinstance(dt, (IntegralType, FractionalType, DecimalType))
 
 
+def _numbers(dt: DataType) -> bool:
+    """A struct of numbers and of such structs."""
+    return all(_is_numeric(f.dataType) or (isinstance(f.dataType, StructType) and _numbers(f.dataType)) for f in dt.fields)
+
+
 def _struct_plus(c: Column, dt: StructType) -> Column:
     fields = []
     for f in dt.fields:
         sub = c.getField(f.name)
         if _is_numeric(f.dataType):
             fields.append(F.sum(sub).alias(f.name))
-        elif isinstance(f.dataType, StructType):
-            fields.append(_struct_plus(sub, f.dataType).alias(f.name))
         else:
-            raise TypeError(f"sum_by_key: struct field {f.name!r} of type {f.dataType.simpleString()} has no field-wise plus")
+            fields.append(_struct_plus(sub, f.dataType).alias(f.name))
     return F.struct(*fields)
 
 
@@ -60,6 +65,7 @@ def sum_by_key(
     semigroup: str | None = None,
     flat: bool = False,
     split: Split | None = None,
+    arrays: str = "list",
 ) -> DataFrame:
     """Sum each key's values with the semigroup of the value type (table above).
 
@@ -68,6 +74,7 @@ def sum_by_key(
     ``split`` gives list sums the chunked layout of ``group_by_key``; its columns
     may include ``_p``, an element's position.  Null elements of lists and sets
     are elements; a key whose maps or arrays are all empty or null stays.
+    ``arrays`` says whether arrays inside a struct or map are lists or sets.
     """
     keys = as_list(keys)
     out = out or value
@@ -96,6 +103,13 @@ def sum_by_key(
     if _is_numeric(dt):
         return df.groupBy(*keys).agg(F.sum(v).alias(out))
 
+    if isinstance(dt, StructType) and not _numbers(dt) or isinstance(dt, MapType) and not _is_numeric(dt.valueType):
+        refuse(df, keys, "_entry", "_leaf", "_n", "_to", "_pair", "_pairs")
+        res = nested_sum(df, keys, value, out, arrays)
+        if flat and isinstance(dt, StructType):
+            return res.select(*keys, *[F.col(out).getField(f.name).alias(f"{out}_{f.name}") for f in dt.fields])
+        return res.select(*keys, F.explode(out).alias(f"{out}_key", f"{out}_value")) if flat else res
+
     if isinstance(dt, StructType):
         res = df.groupBy(*keys).agg(_struct_plus(v, dt).alias(out))
         if flat:
@@ -103,8 +117,6 @@ def sum_by_key(
         return res
 
     if isinstance(dt, MapType):
-        if not _is_numeric(dt.valueType):
-            raise TypeError(f"sum_by_key: map values of type {dt.valueType.simpleString()} have no plus")
         refuse(df, keys, "_mk", "_mv", "_sv")
         entries = df.select(*keys, F.explode(v).alias("_mk", "_mv")) if flat else df.select(*keys, F.explode_outer(v).alias("_mk", "_mv"))
         per_key = entries.groupBy(*keys, "_mk").agg(F.sum("_mv").alias("_sv"))

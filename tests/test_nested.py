@@ -1,0 +1,92 @@
+"""Nested semigroups against a plain Python plus."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from pairflow import rows_to_df, sum_by_key
+from pairflow.plans import exchanges, gathers_lists, has_partial_aggregate
+
+TYPE = "struct<n:int, s:array<double>, m:map<string, struct<a:int, xs:array<string>, d:map<int, bigint>>>, deep:map<int, map<string, array<int>>>>"
+
+
+def value(rng):
+    maybe = lambda v: None if rng.random() < 0.15 else v
+    inner = lambda: {"a": maybe(rng.randint(0, 9)), "xs": maybe([maybe(rng.choice("pq")) for _ in range(rng.randint(0, 3))]), "d": maybe({rng.randint(0, 2): rng.randint(1, 5)})}
+    return {
+        "n": maybe(rng.randint(-5, 5)),
+        "s": maybe([rng.choice([0.0, -0.0, 1.5]) for _ in range(rng.randint(0, 3))]),
+        "m": maybe({rng.choice("uvw"): inner() for _ in range(rng.randint(0, 2))}),
+        "deep": maybe({rng.randint(0, 1): {rng.choice("yz"): [rng.randint(0, 3)]} for _ in range(rng.randint(0, 2))}),
+    }
+
+
+def number(a, b):
+    return a if b is None else b if a is None else a + b
+
+
+def merged(a, b, plus):
+    a, b = a or {}, b or {}
+    return {k: plus(a.get(k), b.get(k)) for k in {*a, *b}}
+
+
+def array(kind):
+    if kind == "list":
+        return lambda a, b: sorted([*(a or []), *(b or [])], key=repr)
+    return lambda a, b: sorted({*(a or []), *(b or [])}, key=repr)
+
+
+def plus(a, b, kind):
+    arr = array(kind)
+    a, b = a or {}, b or {}
+    inner = lambda x, y: {"a": number((x or {}).get("a"), (y or {}).get("a")), "xs": arr((x or {}).get("xs"), (y or {}).get("xs")), "d": merged((x or {}).get("d"), (y or {}).get("d"), number)}
+    return {
+        "n": number(a.get("n"), b.get("n")),
+        "s": arr([x + 0.0 for x in a.get("s") or []], [x + 0.0 for x in b.get("s") or []]),
+        "m": merged(a.get("m"), b.get("m"), inner),
+        "deep": merged(a.get("deep"), b.get("deep"), lambda x, y: merged(x, y, arr)),
+    }
+
+
+def plain(v):
+    if hasattr(v, "asDict"):
+        return plain(v.asDict())
+    if isinstance(v, dict):
+        return {k: plain(x) for k, x in v.items()}
+    return sorted((plain(x) for x in v), key=repr) if isinstance(v, list) else v
+
+
+@pytest.mark.parametrize("kind", ["list", "set"])
+def test_nested_sum_equals_plain_python(spark, kind):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None, "c"]), value(rng)) for _ in range(60)] + [("empty", None)]
+    df = rows_to_df(spark, rows, f"k string, v {TYPE}").repartition(4)
+    want: dict = {}
+    for k, v in rows:
+        want[k] = plus(want.get(k), v, kind)
+    out = sum_by_key(df, "k", "v", arrays=kind)
+    got = {r.k: plain(r.v) for r in out.collect()}
+    assert got == want
+
+
+def test_nested_sum_of_a_map_of_sets_keeps_keys_with_empty_values(spark):
+    df = rows_to_df(spark, [("a", {"x": []}), ("a", {"y": [1, 1]}), ("b", {}), ("c", None)], "k string, v map<string, array<int>>")
+    assert {r.k: r.v for r in sum_by_key(df, "k", "v", arrays="set").collect()} == {"a": {"x": [], "y": [1]}, "b": {}, "c": {}}
+    flat = sum_by_key(df, "k", "v", flat=True)
+    assert Counter((r.k, r.v_key, tuple(r.v_value)) for r in flat.collect()) == Counter([("a", "x", ()), ("a", "y", (1, 1))])
+
+
+def test_nested_sum_combines_before_two_exchanges(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.create_map((F.col("id") % 5), F.array("id")).alias("v"))
+    out = sum_by_key(df, "k", "v", arrays="set")
+    assert has_partial_aggregate(out) and len(exchanges(out)) == 2
+    flat = sum_by_key(df.select("k", F.struct(F.col("k").alias("a"), F.struct("k").alias("b")).alias("v")), "k", "v")
+    assert len(exchanges(flat)) == 1 and not gathers_lists(flat)
+
+
+def test_strings_inside_a_value_have_no_plus(spark):
+    df = rows_to_df(spark, [("a", (1, "x"))], "k string, v struct<n:int,s:string>")
+    with pytest.raises(TypeError):
+        sum_by_key(df, "k", "v")
