@@ -178,3 +178,66 @@ def members(index: DataFrame) -> DataFrame:
     """(shard, doc, id, len, mark): the documents of every shard."""
     rows = index.where(F.col("term") == F.lit(END)).select("shard", F.explode(F.arrays_zip("docs", "ids", "lens", "marks")).alias("d"))
     return rows.select("shard", F.col("d.docs").alias("doc"), F.col("d.ids").alias("id"), F.col("d.lens").alias("len"), F.col("d.marks").alias("mark"))
+
+
+def shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(shard, terms, held, docs, tfs, lens, ids), one row per shard: its words in
+    ascending order, how many postings each has, then all postings one list after
+    another (documents as 2 bytes, counts as 4), and per document its length, end
+    mark included, and its id.  Nothing is shuffled: a task writes its own shards."""
+    ints = ArrayType(IntegerType())
+    schema = StructType(
+        [StructField("shard", LongType()), StructField("terms", ArrayType(BinaryType())), StructField("held", ints)]
+        + [StructField("docs", BinaryType()), StructField("tfs", BinaryType()), StructField("lens", ints)]
+        + [StructField("ids", ArrayType(docs.schema[id_col].dataType))]
+    )
+
+    def row(number: int, ids: pa.Array, texts: list) -> pa.RecordBatch:
+        code: dict = defaultdict()
+        code.default_factory = code.__len__
+        tokens, n = [], len(texts)
+        for i in range(n):
+            own = words_of(texts[i])
+            texts[i] = None  # the text is not needed any more
+            tokens.append(np.fromiter(map(code.__getitem__, own), np.int32, len(own)))
+        words = sorted(code)
+        place = np.empty(len(words), np.int64)
+        place[[code[w] for w in words]] = np.arange(len(words))
+        code.clear()
+        lens = np.array([len(t) for t in tokens], np.int32)
+        key = place[np.concatenate(tokens)] * n if lens.sum() else np.zeros(0, np.int64)
+        del tokens
+        key += np.repeat(np.arange(n), lens)
+        key.sort()
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        tf = np.diff(np.r_[first, len(key)])
+        key = key[first]
+        held = np.bincount(key // n, minlength=len(words)) if n else np.zeros(0)
+        whole = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+        cols = [
+            pa.array([number], pa.int64()),
+            whole(pa.array(words, pa.binary())),
+            whole(pa.array(held, pa.int32())),
+            pa.array([(key % n).astype(np.uint16).tobytes()], pa.binary()),
+            pa.array([tf.astype(np.uint32).tobytes()], pa.binary()),
+            whole(pa.array(lens + 1, pa.int32())),
+            whole(ids),
+        ]
+        return pa.RecordBatch.from_arrays(cols, names=[f.name for f in schema.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number = TaskContext.get().partitionId() << 32, 0
+        ids, texts, size = [], [], 0
+        for batch in batches:
+            own = batch.column(0).take(pa.array(np.arange(batch.num_rows)))  # a copy, which does not hold the batch's texts
+            for i, t in enumerate(batch.column(1)):
+                ids.append(own.slice(i, 1))
+                texts.append(t.as_py())
+                size += len(texts[-1] or "")
+                if len(texts) >= DOCS or size >= CHARS:
+                    yield row(part | number, pa.concat_arrays(ids), texts)
+                    ids, texts, size, number = [], [], 0, number + 1
+        if texts:
+            yield row(part | number, pa.concat_arrays(ids), texts)
+
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).mapInArrow(run, schema)

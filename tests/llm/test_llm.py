@@ -293,23 +293,30 @@ def test_whole_queries_skip_no_document(monkeypatch):
     rng = np.random.default_rng(7)
     n = 2000
     lists = [np.sort(rng.choice(n, rng.integers(1, m), replace=False)) for m in (5, 40, 200, 900, 1500, 1990) * 5]
-    offsets = np.cumsum([0, *map(len, lists)])
-    records = np.zeros(offsets[-1], postings.RECORD)
-    records["doc"], records["tf"], records["len"] = np.concatenate(lists), rng.integers(1, 9, offsets[-1]), 50
+    held = np.array([len(x) for x in lists])
+    docs, tfs, lens = np.concatenate(lists).astype(np.uint16), rng.integers(1, 9, held.sum()).astype(np.uint32), rng.integers(20, 90, n)
+    terms, ids = pa.array([b"%02d" % i for i in range(30)]), pa.array([None, *range(n - 1, 0, -1)], pa.int64())
     weights = np.array([5.0, 4.0, 3.0, 1.0, 0.3, 0.05] * 5)
     for block in (8, 256):
         monkeypatch.setattr(search, "RANGE", block)
-        shard = search.Shard(pa.array([b"%02d" % i for i in range(30)]), [len(x) for x in lists], postings.pack(records, offsets).tobytes(), n, 50.0)
-        own = shard.weigh(pa.array([b"%02d" % i for i in range(30)]), weights)
-        parts = search.impacts(np.repeat(weights, [len(x) for x in lists]), records["tf"], 50, 50.0)
-        full = np.bincount(records["doc"], parts, n)
-        for least in (0.0, np.sort(full)[-5] - 1e-9):
-            for share in (0.0, 0.1, 0.6):
-                monkeypatch.setattr(search, "WEAK", share)
-                small = search.split(weights)
-                found, scores = shard.best(own[~small], own[small], 10, least)
-                want = np.flatnonzero(full >= max(least, np.sort(full)[-10]) - 1e-9)
-                assert found.tolist() == want.tolist() and scores == pytest.approx(full[want])
+        shard = search.Shard(terms, held, docs, tfs, lens, ids, 50.0)
+        own = shard.weigh(terms, weights)
+        full = np.bincount(docs, search.impacts(1.0, tfs.astype(float), lens[docs], 50.0) * np.repeat(weights, held), n)
+        want = np.lexsort((shard.ranks, -full))[:10]
+        assert shard.ranks[0] == n - 1  # the null id comes last
+        read = []
+        for least in (0.0, full[want[4]]):
+            for share in (0.0, 0.4, 2.0):
+                monkeypatch.setattr(search, "SHARE", share)
+                monkeypatch.setattr(search, "UNKNOWN", share / 8)
+                shard.read = 0
+                found, scores = shard.best(own, 10, least)
+                assert found.tolist() == [d for d in want if full[d] >= least] and (scores == full[found]).all()
+                read.append(shard.read)
+        assert read[4] < read[3] == held.sum()
+        found, scores = shard.short(own[:4], 10)
+        part = np.bincount(docs[: held[:4].sum()], (shard.plain * np.repeat(weights, held))[: held[:4].sum()], n)
+        assert found.tolist() == np.lexsort((shard.ranks, -part))[:10].tolist() and (scores == part[found]).all()
 
 
 def test_license_blocks_cross_line_breaks(spark):
