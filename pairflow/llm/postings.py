@@ -24,6 +24,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Shor
 
 DOCS = 8192
 CHARS = 16_000_000
+FIRST = 256  # words of a shard by which its documents are put in order
 END = b""
 RECORD = np.dtype([("doc", "<u2"), ("tf", "<u4"), ("len", "<u4")])
 
@@ -184,7 +185,10 @@ def shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(shard, terms, held, docs, tfs, lens, ids), one row per shard: its words in
     ascending order, how many postings each has, then all postings one list after
     another (documents as 2 bytes, counts as 4), and per document its length, end
-    mark included, and its id.  Nothing is shuffled: a task writes its own shards."""
+    mark included, and its id.  Documents of a shard that have the same most
+    frequent word (of the shard's first words, so mostly function words) stand
+    together: this gathers languages in blocks, which bounds per block live on.
+    Nothing is shuffled: a task writes its own shards."""
     ints = ArrayType(IntegerType())
     schema = StructType(
         [StructField("shard", LongType()), StructField("terms", ArrayType(BinaryType())), StructField("held", ints)]
@@ -200,6 +204,9 @@ def shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             own = words_of(texts[i])
             texts[i] = None  # the text is not needed any more
             tokens.append(np.fromiter(map(code.__getitem__, own), np.int32, len(own)))
+        top = [np.bincount(t[t < FIRST], minlength=1).argmax() for t in tokens]
+        order = np.argsort(np.asarray(top), kind="stable")
+        tokens, ids = [tokens[i] for i in order], ids.take(pa.array(order))
         words = sorted(code)
         place = np.empty(len(words), np.int64)
         place[[code[w] for w in words]] = np.arange(len(words))

@@ -304,16 +304,15 @@ def test_whole_queries_skip_no_document(monkeypatch):
         full = np.bincount(docs, search.impacts(1.0, tfs.astype(float), lens[docs], 50.0) * np.repeat(weights, held), n)
         want = np.lexsort((shard.ranks, -full))[:10]
         assert shard.ranks[0] == n - 1  # the null id comes last
-        read = []
         for least in (0.0, full[want[4]]):
-            for share in (0.0, 0.4, 2.0):
-                monkeypatch.setattr(search, "SHARE", share)
-                monkeypatch.setattr(search, "UNKNOWN", share / 8)
-                shard.read = 0
+            for common in (1, 2, 1000):
+                monkeypatch.setattr(search, "COMMON", common)
+                shard.weigh(terms, weights)
                 found, scores = shard.best(own, 10, least)
                 assert found.tolist() == [d for d in want if full[d] >= least] and (scores == full[found]).all()
-                read.append(shard.read)
-        assert read[4] < read[3] == held.sum()
+        shard.asked = shard.read = 0
+        found, scores = shard.best(own, 10, full.max() * 10)
+        assert len(found) == 0 and shard.read < shard.asked
         found, scores = shard.short(own[:4], 10)
         part = np.bincount(docs[: held[:4].sum()], (shard.plain * np.repeat(weights, held))[: held[:4].sum()], n)
         assert found.tolist() == np.lexsort((shard.ranks, -part))[:10].tolist() and (scores == part[found]).all()
