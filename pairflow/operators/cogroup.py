@@ -20,7 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import functions as F
 
 from pairflow.operators.grouping import group_by_key
-from pairflow.operators.joins import join
+from pairflow.operators.joins import LEAST, join
 from pairflow.operators.skew import Split, as_list, refuse
 
 
@@ -107,12 +107,16 @@ def cogroup_grid(sides: Sequence[tuple], keys, outs: Sequence[str], sort: bool =
     """
     keys = as_list(keys)
     refuse(sides[0][0], keys, *[f"chunk_{i}" for i in range(len(sides))], *[o.lower() for o in outs])
-    every = reduce(lambda a, b: a.unionByName(b), [df.select(*keys) for df, *_ in sides]).distinct()
-    grid = None
+    chunked = []
     for i, ((df, values, split), out) in enumerate(zip(sides, outs)):
         g = group_by_key(df, keys, values, out=out, sort=sort, split=split)
-        name = F.col("chunk") if split else F.lit("0")
-        g = g.select(*keys, name.alias(f"chunk_{i}"), out)
+        chunked.append(g.select(*keys, (F.col("chunk") if split else F.lit("0")).alias(f"chunk_{i}"), out))
+    # Always true, but it asks for the list, so the keys come from the side's own
+    # exchange instead of another one without values.
+    held = [g.where(F.xxhash64(F.size(out)) >= LEAST).select(*keys) for g, out in zip(chunked, outs)]
+    every = reduce(lambda a, b: a.unionByName(b), held).distinct()
+    grid = None
+    for g, out in zip(chunked, outs):
         kind = g.schema[out].dataType
         g = join(every, g, keys, "left", null_safe=True).withColumn(out, F.coalesce(out, F.array().cast(kind)))
         grid = g if grid is None else join(grid, g, keys, "inner", null_safe=True)
