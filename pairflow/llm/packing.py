@@ -2,13 +2,18 @@
 
 Each task packs the documents of its own input split in blocks of at most
 ``BLOCK`` documents: no shuffle, bounded memory, and no hot key, as no key
-decides where a row goes.  Within a block, pieces go longest first into the
-fullest open bin that has room.  If none has, the bin size is opened whose
-padding is expected to cost least: the smallest permitted length that holds
-the piece and leaves either no usable room or room for the pieces still to
-come.  At the end of the block every bin is cut down to the smallest permitted
-length that holds its contents.  A document longer than the largest length is
-cut into full pieces and a rest; no token is lost.
+decides where a row goes.  Bins therefore depend on how the input is split,
+and a split's last bins may stay emptier.  A sequence of L tokens costs
+L + L * L / ``EVEN``: work per token and work per pair of tokens.  Within a
+block, pieces go longest first into the fullest open bin that has room.  If
+none has, all permitted lengths are compared: each is filled in thought with
+the longest of the block's remaining pieces that still fit, as far as these
+exceed the room that open bins will take first, and cut to what it would hold.
+The length that costs least per token held is opened.  At the end of the block
+every bin is cut down to the smallest permitted length that holds its contents.
+The block is also packed with the longest length opened every time; the cheaper
+of both packings is kept.  A document longer than the largest length is cut
+into full pieces and a rest; no token is lost.
 
 Defined results: a null or empty text is one piece of one token (its end
 mark); repeated rows are packed each on its own; ties go to the earlier
@@ -25,43 +30,64 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 BLOCK = 65_536
+EVEN = 24_576  # length at which work per pair equals work per token
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 
 
-def best_fit(pieces: list, lengths: tuple) -> list:
-    """``pieces``: sizes, each at most max(lengths).  Returns (bin, offset) of
-    each and the final length of each bin."""
+def price(length: int) -> float:
+    return length + length * length / EVEN
+
+
+def fitted(pieces: list, lengths: list, ahead: bool) -> tuple:
+    """(bin, offset) of each piece and the final length of each bin.  Opens the
+    cheapest length by looking ahead, or else the longest."""
     order = sorted(range(len(pieces)), key=lambda i: (-pieces[i], i))
-    left = sum(pieces)  # tokens still to place
+    falling = [-pieces[i] for i in order]
     smallest = min(pieces, default=0)
-    room: list = []  # (room, bin) of open bins, sorted
+    left = sum(pieces)  # tokens still to place
+    spare = 0  # room of open bins, where any piece may fit
+    room: list = []  # (room, bin) of these bins, sorted
     used: list = []
-    size: list = []
     where = [(0, 0)] * len(pieces)
-    for i in order:
+
+    def filled(space: int, at: int) -> int:
+        """Tokens that the pieces from place ``at`` on, longest first, would put into ``space``."""
+        rest = space
+        while rest >= smallest and (at := bisect.bisect_left(falling, -rest, at)) < len(falling):
+            rest += falling[at]
+            at += 1
+        return space - rest
+
+    for at, i in enumerate(order):
         n = pieces[i]
         left -= n
-        at = bisect.bisect_left(room, (n, -1))
-        if at < len(room):
-            space, b = room.pop(at)
+        fits = bisect.bisect_left(room, (n, -1))
+        if fits < len(room):
+            space, b = room.pop(fits)
+            spare -= space
         else:
-            # The padding that a new bin of each size would end with: what is
-            # left of it once all later pieces have flowed in, or all of its
-            # room when that is too small for any later piece.
-            def cost(c):
-                rest = c - n
-                return (rest if rest < smallest else max(0, rest - left), -c)
-
-            space = min((c for c in lengths if c >= n), key=cost)
+            free = max(0, left - spare)
+
+            def per_token(c):
+                held = n + (min(filled(c - n, at + 1), free) if free else 0)
+                return price(lengths[bisect.bisect_left(lengths, held)]) / held, c
+
+            space = min((c for c in lengths if c >= n), key=per_token) if ahead else lengths[-1]
             b = len(used)
             used.append(0)
-            size.append(space)
         where[i] = (b, used[b])
         used[b] += n
-        if space > n:
+        if space - n >= smallest:
             bisect.insort(room, (space - n, b))
-    final = [next(c for c in sorted(lengths) if c >= u) for u in used]
-    return where, final
+            spare += space - n
+    return where, [lengths[bisect.bisect_left(lengths, u)] for u in used]
+
+
+def best_fit(pieces: list, lengths: tuple) -> tuple:
+    """``pieces``: sizes, each at most max(lengths).  Returns (bin, offset) of
+    each and the final length of each bin."""
+    plans = [fitted(pieces, sorted(set(lengths)), ahead) for ahead in (True, False)]
+    return min(plans, key=lambda plan: sum(map(price, plan[1])))
 
 
 def pack(

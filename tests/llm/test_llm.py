@@ -144,6 +144,30 @@ def test_packing_loses_no_token_and_overfills_no_bin(docs):
     assert sum(r.n_tokens for r in rows) == sum(len(words(t)) + 1 for _, t, _ in TEXTS)
 
 
+def test_packing_opens_what_costs_least(spark):
+    import random
+
+    longest = lambda p, sizes: packing.fitted(p, sorted(sizes), False)[1]
+    for seed in range(30):
+        rng = random.Random(seed)
+        sizes = tuple(rng.sample(range(4, 300), 3))
+        pieces = [rng.randint(1, max(sizes)) for _ in range(rng.randrange(1, 200))]
+        where, final = packing.best_fit(pieces, sizes)
+        held = Counter()
+        for n, (b, offset) in sorted(zip(pieces, where), key=lambda x: x[1]):
+            assert held[b] == offset
+            held[b] += n
+        assert all(final[b] == min(c for c in sizes if c >= n) for b, n in held.items())
+        assert sum(map(packing.price, final)) <= sum(map(packing.price, longest(pieces, sizes)))
+    # The longest holds three pieces and a rest, the shorter two without one.
+    pieces = [3] * 600
+    assert packing.best_fit(pieces, (6, 10))[1] == [6] * 300 and sum(longest(pieces, (6, 10))) > 6 * 300
+    mixed = [70] * 40 + [48] * 40
+    assert set(packing.best_fit(mixed, (96, 160))[1]) == {96, 160} and sum(packing.best_fit(mixed, (96, 160))[1]) <= sum(longest(mixed, (96, 160)))
+    d = spark.createDataFrame([(i, "a b") for i in range(600)], "doc_id long, text string").coalesce(1)
+    assert {r.bin_length for r in packing.pack(d, lengths=(6, 10)).collect()} == {6}
+
+
 def test_language_id(docs, spark):
     rows = frame(spark, [x for x in TEXTS if x[1] != LONG])  # one long text would outweigh its language
     p = langid.predict(langid.train(rows), spark, F.col("text"))
