@@ -2,22 +2,28 @@
 
 Words are runs of a-z, 0-9 and everything beyond ASCII in the text with A-Z
 lower-cased.  The base scan finds places where a phrase's words stand one after
-another.  The method joins text blocks (stretches of at most ``BLOCK`` words
-that overlap by half, of the whole text across its lines and of every line)
-with license templates: a block matches
-if it holds at least ``THRESHOLD`` of the template's distinct words.
+another.  The method joins text blocks (all stretches of ``BLOCK`` consecutive
+words, across lines, and shorter texts whole) with license templates: a block
+matches if it holds at least ``THRESHOLD`` of the template's distinct words.
+Templates of fewer than ``LEAST`` distinct words say too little as sets; they
+match where their words stand one after another.
 
 The join is exact.  Template words are ordered by how many documents of the
 whole corpus hold them, rarest first.  A block that meets the threshold must
-hold one of a template's first t - need + 1 words (prefix filter), at least
-``need`` template words at all (length filter), and cannot reach ``need`` if
+hold one of a template's first t - need + 1 words (prefix filter) and at least
+``need`` template words (length filter: the place of the word ``need`` - 1
+template words further on must be in the block), and cannot reach ``need`` if
 the rarest word it holds stands too far back in that order (positional filter).
-The template side is a fixed list, so it travels as literals; nothing is
-shuffled but the word counts.
+A stretch can only be the best if it starts at a template word, so the starts
+tried are as many as a text has template words, each looking at one block.  The
+template side is a fixed list, so it travels as literals; nothing is shuffled
+but the word counts.
 
 Defined results: null counts as empty; a text without words has no places, no
-labels, score 0; repeated rows each get their row; ties cannot matter, as
-labels are sets; an empty table gives an empty result.
+labels, score 0; a very long text costs time in proportion to its words; the
+score of a text without a match is 0, however near its blocks come; repeated
+rows each get their row; ties cannot matter, as labels are sets; an empty table
+gives an empty result.
 """
 
 from math import ceil
@@ -35,7 +41,7 @@ PHRASES = (
     ("mit license", "mit"),
 )
 # Opening words of common license notices, further stretches of the
-# texts (of at most 32 words, which always stand in one block), and their labels.
+# texts (of at most 32 words, half a block), and their labels.
 TEMPLATES = (
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
@@ -63,6 +69,7 @@ TEMPLATES = (
 )
 THRESHOLD = 0.85
 BLOCK = 64
+LEAST = 6
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
@@ -94,36 +101,47 @@ def word_order(docs: DataFrame, words: list, text_col: str = "text") -> dict:
     return {w: 0 for w in words} | {r["w"]: r["n"] for r in rows}
 
 
-def _blocks(lowered: Column, spaced: Column) -> Column:
-    """The blocks of the whole text, where a line's end parts words like a space, and those of every line."""
-    half = BLOCK // 2
+def _containment(hits: Column, template: list, need: int) -> Column:
+    """The largest share of ``template`` (rarest word first) in any block of the
+    text whose template words with their places are ``hits``; 0 below ``need``."""
+    prefix, places = template[: len(template) - need + 1], _array(template)
 
-    def windows(words):
-        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil((F.size(words) - BLOCK) / half)).cast("int"))
-        return F.transform(starts, lambda i: F.slice(words, i * half + 1, F.lit(BLOCK)))
+    def best(own):
+        def one(hit, i):
+            block = F.filter(F.slice(own, i + 1, F.lit(BLOCK)), lambda x: x["p"] < hit["p"] + BLOCK)
+            words = F.array_distinct(F.transform(block, lambda x: x["w"]))
+            rarest = F.array_min(F.transform(words, lambda w: F.array_position(places, w)))
+            return F.when(F.lit(len(template) + 1) - rarest >= need, F.size(words)).otherwise(0)
 
-    lines = F.flatten(F.transform(F.split(lowered, "\n"), lambda line: windows(_words(_spaced(line)))))
-    return F.when(F.contains(lowered, F.lit("\n")), F.concat(windows(_words(spaced)), lines)).otherwise(windows(_words(spaced)))
+        def reach(hit, i):
+            return F.try_element_at(own, i + need)["p"] < hit["p"] + BLOCK
+
+        tried = F.transform(own, lambda hit, i: F.when(reach(hit, i), one(hit, i)).otherwise(0))
+        able = (F.size(own) >= need) & F.exists(own, lambda x: x["w"].isin(prefix))
+        return F.when(able, F.array_max(tried)).otherwise(0)
+
+    own = F.filter(hits, lambda x: x["w"].isin(template))
+    most = F.coalesce(F.element_at(F.transform(F.array(own), best), 1), F.lit(0))
+    return F.when(most >= need, most / F.lit(float(len(template)))).otherwise(0.0)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: id, n_words, n_base, first_word, last_word,
-    base_labels, labels, score (the largest template containment; 1 where a
-    base phrase stands)."""
-    sets = [(label, sorted(set(text.split()))) for label, text in TEMPLATES]
+    base_labels, labels, score (the largest containment of a template that a
+    block matches; 1 where a phrase stands; else 0)."""
+    short = [(label, text) for label, text in TEMPLATES if len(set(text.split())) < LEAST]
+    sets = [(label, sorted(set(text.split()))) for label, text in TEMPLATES if (label, text) not in short]
     count = word_order(docs, sorted({w for _, t in sets for w in t}), text_col)
     ordered = [(label, sorted(t, key=lambda w: (count[w], w))) for label, t in sets]
     needs = [max(1, ceil(threshold * len(t) - 1e-9)) for _, t in ordered]
     prefixes = [t[: len(t) - need + 1] for (_, t), need in zip(ordered, needs)]
     rare = _array(sorted({w for p in prefixes for w in p}))
-    vocabulary = _array(sorted(count))
 
-    low = docs.select(F.col(id_col).alias("_id"), _lowered(F.col(text_col)).alias("_low"))
-    rows = low.select("_id", "_low", _spaced(F.col("_low")).alias("_s"))
-    rows = rows.select("_id", "_low", "_s", (_spaces(F.col("_s")) - 1).cast("long").alias("n_words"))
+    rows = docs.select(F.col(id_col).alias("_id"), _spaced(_lowered(F.col(text_col))).alias("_s"))
+    rows = rows.select("_id", "_s", (_spaces(F.col("_s")) - 1).cast("long").alias("n_words"))
 
     # Base phrases: the pieces between the places of a phrase give their number and positions.
-    cols = ["_id", "_low", "_s", "n_words"]
+    cols = ["_id", "_s", "n_words"]
     for n, (phrase, _) in enumerate(PHRASES):
         pieces = F.split("_s", f" {phrase}(?= )")
         rows = rows.select(*cols, F.when(F.col("_s").contains(f" {phrase} "), pieces).alias(f"_p{n}"))
@@ -136,23 +154,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
         for n, (p, _) in enumerate(PHRASES)
     ]
 
-    # Templates: only rows that hold a prefix word are cut into blocks.
-    hopeful = F.arrays_overlap(_words(F.col("_s")), rare)
-    blocks = F.filter(_blocks(F.col("_low"), F.col("_s")), lambda b: F.arrays_overlap(b, rare))
-    blocks = F.transform(blocks, lambda b: F.array_intersect(b, vocabulary))
-    rows = rows.withColumn("_b", F.when(hopeful, blocks).otherwise(F.array().cast("array<array<string>>")))
-
-    def containment(n: int) -> Column:
-        t, need = ordered[n][1], needs[n]
-        at = F.array(*[F.lit(w) for w in t])
-
-        def one(b):
-            rarest = F.array_min(F.transform(F.array_intersect(b, at), lambda w: F.array_position(at, w)))
-            alive = F.arrays_overlap(b, _array(prefixes[n])) & (F.size(b) >= need)
-            alive = alive & (F.lit(len(t) + 1) - rarest >= need)
-            return F.when(alive, F.size(F.array_intersect(b, at)) / F.lit(float(len(t)))).otherwise(F.lit(0.0))
-
-        return F.coalesce(F.array_max(F.transform("_b", one)), F.lit(0.0))
+    # Templates: only rows that hold a prefix word list their template words.
+    words = _words(F.col("_s"))
+    placed = F.filter(F.transform(words, lambda w, i: F.struct(i.alias("p"), w.alias("w"))), lambda x: x["w"].isin(sorted(count)))
+    none = F.array().cast("array<struct<p:int,w:string>>")
+    rows = rows.withColumn("_h", F.when(F.arrays_overlap(words, rare), placed).otherwise(none))
 
     rows = rows.select(
         "_id",
@@ -161,9 +167,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
         F.least(*firsts).cast("long").alias("first_word"),
         F.greatest(*lasts).cast("long").alias("last_word"),
         F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(f, F.lit(label)) for f, (_, label) in zip(found, PHRASES)])))).alias("_base"),
-        F.array(*[containment(n) for n in range(len(ordered))]).alias("_c"),
+        F.array(
+            *[_containment(F.col("_h"), t, need) for (_, t), need in zip(ordered, needs)],
+            *[F.col("_s").contains(f" {text} ").cast("double") for _, text in short],
+        ).alias("_c"),
     )
-    matched = F.array_compact(F.array(*[F.when(F.col("_c")[n] >= threshold - 1e-9, F.lit(label)) for n, (label, _) in enumerate(ordered)]))
+    names = [label for label, _ in ordered + short]
+    matched = F.array_compact(F.array(*[F.when(F.col("_c")[n] > 0, F.lit(label)) for n, label in enumerate(names)]))
     return rows.select(
         F.col("_id").alias(id_col),
         "n_words",

@@ -350,3 +350,46 @@ def test_license_blocks_cross_line_breaks(spark):
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert [r.labels for r in licenses.scan(d).orderBy("doc_id").collect()] == ["bsd", "bsd", "gpl", "bsd", ""]
     assert all(len(t.split()) <= licenses.BLOCK // 2 for _, t in licenses.TEMPLATES)
+
+
+def scanned(text):
+    """(labels, score) of one text, by looking at every block."""
+    found = re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    line, labels, score = f" {' '.join(found)} ", set(), 0.0
+    for phrase, label in licenses.PHRASES:
+        if f" {phrase} " in line:
+            labels.add(label)
+            score = 1.0
+    blocks = [set(found[i : i + licenses.BLOCK]) for i in range(max(1, len(found) - licenses.BLOCK + 1))]
+    for label, template in licenses.TEMPLATES:
+        own = set(template.split())
+        share = max(len(b & own) / len(own) for b in blocks) if len(own) >= licenses.LEAST else float(f" {template} " in line)
+        if share >= licenses.THRESHOLD:
+            labels.add(label)
+            score = max(score, share)
+    return ",".join(sorted(labels)), score
+
+
+def test_license_blocks_equal_all_stretches(spark):
+    import random
+
+    rng = random.Random(11)
+    texts = [None, "", "a buy cc of goods by the door and nc state", "public opinion: lesser gnu general store", "CC BY-NC 4.0"]
+    for k in range(160):
+        label, template = rng.choice(licenses.TEMPLATES)
+        kept = [w for w in template.split() if rng.random() > 0.12 * (k % 3)]
+        if k % 4 == 0:
+            rng.shuffle(kept)
+        out = ["foreign"] * rng.randrange(0, 90)
+        for w in kept:
+            out += [w] + [rng.choice(["and", "the", "other", "x9"])] * rng.choice([0, 0, 1, 3, 5])
+        out += rng.choice([[], ["tail"] * 70, rng.choice(licenses.TEMPLATES)[1].split()])
+        texts.append(rng.choice([" ", "\n", ", "]).join(out))
+    texts.append(" ".join(t for _, t in licenses.TEMPLATES) + " word" * 500)
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(d).collect()}
+    for i, t in enumerate(texts):
+        labels, score = scanned(t)
+        assert got[i] == (labels, pytest.approx(score)), t
+    assert [got[i][0] for i in range(5)] == ["", "", "", "", "cc-by,cc-by-nc"]
+    assert len({x[0] for x in got.values()}) > 10
