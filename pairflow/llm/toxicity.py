@@ -11,18 +11,24 @@ curve.
 Terms are learned from labelled texts: a word, or the first 4 to 8 letters of
 one, joins the lexicon if the texts that hold it are toxic far more often than
 others (likelihood ratio), with its log odds as weight.  Equal texts count
-once.  Counting covers all labelled rows given; the lexicon keeps at most
-``MOST_TERMS`` terms.  The curve is fitted on labelled rows that the lexicon
-has not seen, from a histogram of bounded size.
+once.  Counting covers all labelled rows given, and the lexicon keeps every
+term that passes and that no shorter one makes idle.  It travels to the tasks
+as a broadcast; one of more than ``MOST_LETTERS`` letters is an error, not a
+cut.  The curve is fitted on labelled rows that the lexicon has not seen, from
+a histogram of bounded size.
 
 Defined results: null counts as empty; a text without matches gets the curve's
-floor; labels null or of unknown documents are ignored; without labels of both
-kinds the built-in lexicon and curve hold; repeated rows each get their row.
+floor; a very long text is matched in one walk over its letters; an empty table
+gives an empty result; of terms that start at one place the heaviest counts;
+labels null or of unknown documents are ignored; without labels of both kinds
+the built-in lexicon and curve hold; repeated rows each get their row; where
+labelled documents share an id, the text of the smallest hash is learned from.
 """
 
 import math
 import re
 import unicodedata
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -32,12 +38,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairflow.llm.base import fold, saved, strings
+from pairflow.llm.base import fold, per_process, saved, strings
 
-MOST_TERMS = 20_000
+MOST_LETTERS = 4_000_000  # about half a million terms; the automaton takes some hundred bytes a letter
 LEAST_TEXTS = 4  # toxic texts that hold a term
 LEAST_RATIO = 20.0  # twice the log likelihood ratio; more where many terms are tried, so that chance finds about none
 FLUSH = 400_000  # counters held by a task before it hands them on
+FLUSH_LETTERS = 8_000_000  # or letters of the words that they count
 STEMS = range(4, 9)
 # A small general lexicon with its weight, and phrases in which a term is harmless.
 WORDS = ("idiot", "moron", "stupid", "loser", "scum", "worthless", "pathetic", "disgusting", "imbecile", "clown", "trash", "filth", "dumbass", "asshole", "bastard", "bitch")
@@ -75,7 +82,7 @@ def _key(phrase: str) -> str:
 def _terms(words: list) -> set:
     """Whole words end in a space, stems don't."""
     own = set(words)
-    out = {w + " " for w in own if 3 <= len(w) <= 32}
+    out = {w + " " for w in own if len(w) >= 3}
     for n in STEMS:
         out.update({w[:n] for w in own if len(w) >= n})
     return out
@@ -86,6 +93,7 @@ def _learn(rows: DataFrame) -> list:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: tuple = (defaultdict(int), defaultdict(int))
+        letters = 0
 
         def out():
             terms = sorted(held[0].keys() | held[1].keys())
@@ -98,9 +106,12 @@ def _learn(rows: DataFrame) -> list:
             for text, toxic in zip(batch["text"], batch["toxic"]):
                 own = held[int(toxic > 0)]
                 for t in _terms(folded_words(text)):
+                    if t not in own:
+                        letters += len(t)
                     own[t] += 1
-                if len(held[0]) + len(held[1]) >= FLUSH:
+                if len(held[0]) + len(held[1]) >= FLUSH or letters >= FLUSH_LETTERS:
                     yield out()
+                    letters = 0
         if held[0] or held[1]:
             yield out()
 
@@ -116,15 +127,22 @@ def _learn(rows: DataFrame) -> list:
     clean = F.when(F.col("neg") > 0, F.col("neg") * F.log((1 - share) / (1 - base))).otherwise(0.0)
     ratio = 2 * (F.col("pos") * F.log(share / base) + clean)
     odds = F.log((F.col("pos") + 0.5) / (p + 1.0) / ((F.col("neg") + 0.5) / (n + 1.0)))
-    best = terms.select("term", odds.alias("w"), ratio.alias("g")).where(f"w >= 2 and g >= {least}")
-    best = best.orderBy(F.col("g").desc(), "term").limit(MOST_TERMS).collect()
-    weight = {r["term"]: min(8.0, r["w"]) for r in best}
-    # A longer term says nothing new where a stem of it is in the lexicon with no less weight but a little.
-    return [
-        (t, w)
-        for t, w in sorted(weight.items())
-        if not any(weight.get(t[:k], -9) >= w - 1 for k in STEMS if k < len(t.rstrip()) or (k == len(t.rstrip()) and t.endswith(" ")))
-    ]
+    best = terms.select("term", F.least(odds, F.lit(8.0)).alias("w"), odds.alias("o"), ratio.alias("g")).where(f"o >= 2 and g >= {least}")
+    best = lexicon(saved(best.select("term", "w")))
+    size = best.agg(F.sum(F.length("term"))).first()[0] or 0
+    if size > MOST_LETTERS:
+        raise ValueError(f"a lexicon of {size} letters; at most {MOST_LETTERS} are broadcast")
+    return sorted((r["term"], r["w"]) for r in best.collect())
+
+
+def lexicon(terms: DataFrame) -> DataFrame:
+    """``terms``: (term, w), each once.  Those that say something new: a longer
+    term doesn't where a stem of it weighs no less but a little."""
+    whole = F.rtrim("term")
+    stems = F.transform(F.array(*[F.lit(n) for n in STEMS]), lambda n: F.when((F.length(whole) >= n) & (n < F.length("term")), F.substring(whole, F.lit(1), n)))
+    of = terms.select("term", "w", F.explode(F.array_compact(stems)).alias("stem"))
+    idle = of.join(terms.select(F.col("term").alias("stem"), F.col("w").alias("has")), "stem").where("has >= w - 1").select("term")
+    return saved(terms.join(idle, "term", "left_anti"))
 
 
 def automaton(terms: list) -> ahocorasick.Automaton:
@@ -157,11 +175,11 @@ def weigh(a: ahocorasick.Automaton, text: str) -> tuple:
 
 def features(terms: list, spark, text: Column) -> Column:
     """struct<n_words, n_matches, weight> of each text."""
-    held = spark.sparkContext.broadcast(terms)
+    held, key = spark.sparkContext.broadcast(terms), f"lexicon-{uuid.uuid4().hex}"
 
     @F.pandas_udf("n_words long, n_matches long, weight double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        a = automaton(held.value)
+        a = per_process(key, lambda: automaton(held.value))
         for series in batches:
             yield pd.DataFrame([weigh(a, t) for t in strings(series)], columns=["n_words", "n_matches", "weight"])
 
@@ -199,7 +217,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # One of equal texts, found among ids and hashes alone.
     narrow = texts.select("_id", F.xxhash64("text").alias("h")).join(marks, "_id")
     one = narrow.groupBy("h").agg(F.min("_id").alias("_id"), F.max("toxic").alias("toxic")).drop("h")
-    rows = saved(texts.join(one, "_id").dropDuplicates(["_id"]).select((fold("_id", 5) == 4).alias("_check"), "text", "toxic"))
+    texts = texts.withColumn("_h", F.xxhash64("text")).join(one, "_id").groupBy("_id").agg(F.min(F.struct("_h", "text", "toxic")).alias("r")).select("_id", "r.text", "r.toxic")
+    rows = saved(texts.select((fold("_id", 5) == 4).alias("_check"), "text", "toxic"))
     terms = _learn(rows.where("not _check").select("text", "toxic"))
     seen = rows.where("_check").select(features(terms, spark, F.col("text")).alias("f"), "toxic").select("f.*", "toxic")
     return {"terms": terms, "curve": _fit(seen)}

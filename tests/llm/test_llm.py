@@ -393,3 +393,28 @@ def test_license_blocks_equal_all_stretches(spark):
         assert got[i] == (labels, pytest.approx(score)), t
     assert [got[i][0] for i in range(5)] == ["", "", "", "", "cc-by,cc-by-nc"]
     assert len({x[0] for x in got.values()}) > 10
+
+
+def test_lexicon_has_no_cap_and_no_idle_terms(spark):
+    import random
+
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    many = {"".join(rng.choice(letters) for _ in range(rng.randrange(3, 12))) + " " * rng.randrange(2): rng.uniform(2, 8) for _ in range(30_000)}
+    for t in rng.sample(sorted(many), 3000):  # longer ones of the same stem
+        many[t.rstrip() + rng.choice(letters) + " "] = rng.uniform(2, 8)
+    many = {t: w for t, w in many.items() if t.endswith(" ") or len(t) in toxicity.STEMS}
+    got = {r.term for r in toxicity.lexicon(spark.createDataFrame(sorted(many.items()), "term string, w double")).collect()}
+    idle = {t for t, w in many.items() if any(k < len(t) and t[:k] == t.rstrip()[:k] and len(t.rstrip()) >= k and many.get(t[:k], -9) >= w - 1 for k in toxicity.STEMS)}
+    assert got == many.keys() - idle and idle and len(got) > 20_000
+
+
+def test_a_learned_lexicon_of_more_than_20000_terms_loses_none(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "STEMS", range(4, 4))
+    monkeypatch.setattr(toxicity, "LEAST_RATIO", 0.0)
+    word = lambda i: "z" + "".join(chr(97 + i // 26**k % 26) for k in range(4)) + "q" * 40
+    bad = [(" ".join(word(i) for i in range(s, s + 2100)), 1) for s in range(0, 21_000, 2100) for _ in range(30)]
+    good = [("fine words only", 0)] * 20_000
+    rows = spark.createDataFrame(bad + good, "text string, toxic int")
+    terms = toxicity._learn(rows)
+    assert {t for t, _ in terms} == {" ".join(toxicity.folded_words(word(i))) + " " for i in range(21_000)}
