@@ -270,7 +270,10 @@ def test_sketches_retry_until_they_peel(spark):
         F.transform(F.sequence(F.lit(100), F.lit(300)), lambda x: F.xxhash64(x)).alias("b"),
         F.lit(1).alias("expect"),
     )
-    assert {r.pair: r.n_differ for r in iblt.differences(pairs).collect()} == {0: 200, 1: 200, 2: 200}
+    sides = pairs.select("pair", F.array_except("a", "b").alias("a"), F.array_except("b", "a").alias("b")).collect()
+    want = {r.pair: sorted([(x, 1) for x in r.a] + [(x, -1) for x in r.b]) for r in sides}
+    got = {r.pair: sorted(map(tuple, r.differ)) for r in iblt.differences(pairs).collect()}
+    assert got == want and all(len(x) == 200 for x in got.values())
 
 
 def test_license_scan(docs):
@@ -418,3 +421,39 @@ def test_a_learned_lexicon_of_more_than_20000_terms_loses_none(spark, monkeypatc
     rows = spark.createDataFrame(bad + good, "text string, toxic int")
     terms = toxicity._learn(rows)
     assert {t for t, _ in terms} == {" ".join(toxicity.folded_words(word(i))) + " " for i in range(21_000)}
+
+
+def test_fingerprints_peel_without_the_texts(spark):
+    rows = [(0, "a\nb\nc\nd", "a\nb\nc\ne"), (1, "a\nb", "a\nb"), (2, "", "x\ny"), (3, "same\n" + "\n".join(map(str, range(500))), "\n".join(map(str, range(501)))), (4, "", "\n".join(map(str, range(90))))]
+    d = spark.createDataFrame(rows, "pair long, s string, t string").select("pair", iblt.digests(F.col("s")).alias("x"), iblt.digests(F.col("t")).alias("y"))
+    found = iblt.printed_differences(d.select("pair", iblt.printed(F.col("x")).alias("a"), iblt.printed(F.col("y")).alias("b")))
+    got = {r.pair: (sorted(map(tuple, r.differ)), r.n_left) for r in found.collect()}
+    for r in d.collect():
+        want = sorted([(x, 1) for x in set(r.x) - set(r.y)] + [(x, -1) for x in set(r.y) - set(r.x)])
+        assert got[r.pair] == (want, 0) if r.pair < 4 else got[r.pair][1] > 0
+
+
+@pytest.mark.parametrize("kind", ["string", "timestamp", "date", "double", "decimal(20,3)"])
+def test_next_documents_of_any_id_type(spark, kind):
+    n = {"string": "concat('k\"', id, '\\\\')", "timestamp": "timestamp_micros(id * 1000001)", "date": "date_add(date'2020-01-01', int(id))"}.get(kind, f"cast(id / 7 as {kind})")
+    d = spark.range(60).selectExpr(f"{n} as _id", "concat('text ', id) as _text").unionByName(spark.range(40).selectExpr(f"cast(null as {kind}) as _id", "concat('hot ', id) as _text"))
+    rows = iblt.with_next(d.repartition(5), ["_text"]).collect()
+    key = {r._text: (r._id is not None, r._id if r._id is not None else 0) for r in rows}
+    assert len(rows) == 100 and len({r.row for r in rows}) == 100
+    after, at, walk = {r._text: r.next__text for r in rows}, rows[0]._text, []
+    for _ in rows:
+        walk.append(at)
+        at = after[at]
+    assert at == walk[0] and set(walk) == set(after)  # one ring of all rows
+    assert sum(key[a] < key[after[a]] for a in walk) == 1  # that rises once, from the last to the first
+
+
+def test_many_ranges_are_planned_as_one_literal(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 500)
+    try:
+        d = spark.range(3000).selectExpr("id as _id", "concat('text ', id) as _text")
+        rows = iblt.with_next(d, ["_text"])
+        assert {(r._id, r.next__text) for r in rows.select("_id", "next__text").collect()} == {(i, f"text {(i - 1) % 3000}") for i in range(3000)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
