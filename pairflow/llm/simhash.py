@@ -16,7 +16,8 @@ fingerprints, so its list is bounded; each links to the smallest of them, which
 is again checked bit by bit.  Equal fingerprints are one node from the start.
 
 Defined results: a text without words, or null, has fingerprint zero and links
-like any other; null ids take part in links but never name a component unless
+like any other; a very long text is counted in slices of its shingles; ties
+cannot matter, as a component is named by its smallest id; null ids take part in links but never name a component unless
 it has no other id (then it is null); repeated rows each get their row; an
 empty table gives an empty result.
 """
@@ -106,16 +107,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id, null
-    ids last, then of the smallest fingerprint; of repeated rows, any one."""
-    found = near_duplicates(docs, id_col, text_col, shingle)
-    rows = found.groupBy("grp", F.col(id_col).alias("_id"), F.col("fp").alias("_fp")).agg(F.count("*").alias("n"))
-    best = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_fp", "n")).alias("b")
-    keep = saved(rows.groupBy("grp").agg(best).select(F.col("b._id").alias("_id"), F.col("b._fp").alias("_fp"), (F.col("b.n") > 1).alias("_many")))
-    mine, many = fresh(docs, "_print"), fresh(docs, "_again")
-    keep = keep.select(F.col("_id").alias("_k_id"), F.col("_fp").alias("_k_fp"), F.col("_many").alias(many))
-    marked = docs.withColumn(mine, fingerprint(F.col(text_col), shingle))
-    kept = marked.join(keep, marked[id_col].eqNullSafe(keep["_k_id"]) & (marked[mine] == keep["_k_fp"])).drop(keep["_k_id"], keep["_k_fp"])
-    once = kept.where(~F.col(many))
-    if not keep.where(F.col(many)).isEmpty():
-        once = once.unionByName(kept.where(F.col(many)).dropDuplicates([id_col, mine]))
-    return once.drop(mine, many)
+    ids last, then of the smallest fingerprint; of repeated rows, any one.  Rows
+    are found again by their id; fingerprints are only computed a second time
+    for rows that share their id with others."""
+    found = near_duplicates(docs, id_col, text_col, shingle).select(F.col(id_col).alias("_id"), "fp", "grp")
+    best = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "fp")).alias("b")
+    keep = found.groupBy("grp").agg(best).select("b._id", "b.fp")
+    times = found.groupBy("_id").agg(F.count("*").alias("n")).withColumnRenamed("_id", "_same")
+    name, mine = fresh(docs, "_kept"), fresh(docs, "_print")
+    keep = keep.join(times, F.col("_id").eqNullSafe(F.col("_same")))
+    keep = saved(keep.select(F.col("_id").alias(name), F.col("fp").alias(mine), (F.col("n") > 1).alias("several")))
+    alone, several = keep.where("not several"), keep.where("several")
+    once = docs.join(alone, docs[id_col].eqNullSafe(alone[name]), "left_semi")
+    if several.isEmpty():
+        return once
+    shared = docs.join(several, docs[id_col].eqNullSafe(several[name]), "left_semi").withColumn(mine, fingerprint(F.col(text_col), shingle))
+    shared = shared.join(several, shared[id_col].eqNullSafe(several[name]) & (shared[mine] == several[mine]), "left_semi")
+    return once.unionByName(shared.dropDuplicates([id_col, mine]).drop(mine))

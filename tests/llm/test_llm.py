@@ -457,3 +457,49 @@ def test_many_ranges_are_planned_as_one_literal(spark):
         assert {(r._id, r.next__text) for r in rows.select("_id", "next__text").collect()} == {(i, f"text {(i - 1) % 3000}") for i in range(3000)}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    import random
+
+    import xxhash
+
+    rng = random.Random(9)
+    base = [" ".join(rng.choice(["red", "blue", "green", "one", "two"]) + str(rng.randrange(400)) for _ in range(300)) for _ in range(6)]
+    rows = [(i, rng.choice(base)) for i in range(40)] + [(100 + i, base[i % 6].upper() + " tail" * (i % 3)) for i in range(20)]
+    rows += [(None, base[0]), (None, None), (7, base[1]), (300, ""), (301, "a b"), (302, "A b"), (303, "a b c")]
+    schema = "doc_id long, text string, _print int, _kept string, several int, _id long"
+    d = spark.createDataFrame([(i, t, 1, "x", 2, 3) for i, t in rows], schema).repartition(3)
+
+    def print_of(t):
+        w = words(t)
+        grams = [b" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
+        h = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    prints = [print_of(t) for _, t in rows]
+    of = list(range(len(rows)))
+    for _ in rows:
+        of = [min(of[j] for j in range(len(rows)) if (prints[i] ^ prints[j]).bit_count() <= 2) for i in range(len(rows))]
+    group = lambda i: [rows[j][0] for j in range(len(rows)) if of[j] == of[i] and rows[j][0] is not None]
+    want = Counter((rows[i][0], f"{prints[i]:016x}", min(group(i), default=None)) for i in range(len(rows)))
+    assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in simhash.near_duplicates(d).collect()) == want
+    kept = simhash.one_of_each(d)
+    assert kept.columns == d.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({w[2] for w in want})
+
+
+def test_pipeline_on_empty_tables_and_clashing_columns(spark, docs, marks, tmp_path):
+    for name, d, m in (("none", docs.limit(0), marks.limit(0)), ("no labels", docs, marks.limit(0)), ("full", docs, marks)):
+        folder = str(tmp_path / name)
+        extra = ["_lang", "_toxic", "_print", "_kept", "_k_id", "several", "grp", "lang_pred", "bin_id", "w"]
+        d.select("*", *[F.lit(7).alias(c) for c in extra]).write.parquet(f"{folder}/documents.parquet")
+        m.write.parquet(f"{folder}/labels.parquet")
+        got = corpus_pipeline.run(spark, folder)
+        assert {"doc_id", "bin_id", "bin_length", "bin_offset"} <= set(got.columns)
+        ids = {r.doc_id for r in got.collect()}
+        assert ids == set() if name == "none" else {1, 7, 10} <= ids and not {2, 4, 5, 6} & ids
+        columns = spark.read.parquet(f"{folder}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            columns = stage(spark, columns, folder)
+            assert set(columns.columns) == {*docs.columns, *extra}
