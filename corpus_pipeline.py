@@ -3,6 +3,9 @@
 Each stage takes the documents that the stage before kept and returns
 documents; the last returns their places in training sequences.  A stage's
 result is written as Parquet and read again by the next.
+
+Defined results, for every stage: whole texts are read, however long; further
+columns are kept and may have any name; an empty table stays empty.
 """
 
 import uuid
@@ -21,7 +24,8 @@ MOST_TOXIC = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter (null texts too) and those too few of
     whose trigrams occur in any language.  Without a single labelled document
-    there is nothing to decide by, and all stay."""
+    there is nothing to decide by, and all stay.  Repeated rows stay or go
+    together; ties between languages decide nothing."""
     model = langid.train(docs)
     if not model["names"]:
         return docs
@@ -32,7 +36,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that are toxic with a probability of ``MOST_TOXIC`` or more."""
+    """Drops documents that are toxic with a probability of ``MOST_TOXIC`` or more.
+    Null and empty texts have the least probability and stay; null ids are
+    judged by their text like others; repeated rows stay or go together."""
     model = toxicity.train(docs, labels(spark, sf_dir))
     p = fresh(docs, "_toxic")
     found = docs.withColumn(p, toxicity.score(model, spark, F.col("text")))
@@ -40,12 +46,16 @@ def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates."""
+    """Keeps one document of each group of near-duplicates: that of the smallest
+    id, null ids last; of repeated rows any one.  Texts without words (null,
+    empty) are one group."""
     return simhash.one_of_each(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The places of all documents in sequences."""
+    """The places of all documents in sequences.  A null or empty text is one
+    token; a text longer than a sequence takes several; repeated rows each get
+    their places; of equal sizes the earlier row goes first."""
     return packing.pack(docs)
 
 
