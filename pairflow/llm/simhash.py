@@ -117,7 +117,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     name, mine = fresh(docs, "_kept"), fresh(docs, "_print")
     keep = keep.join(times, F.col("_id").eqNullSafe(F.col("_same")))
     keep = saved(keep.select(F.col("_id").alias(name), F.col("fp").alias(mine), (F.col("n") > 1).alias("several")))
-    alone, several = keep.where("not several"), keep.where("several")
+    # One plan at every size: a broadcast would end where the kept ids outgrow it.
+    alone, several = keep.where("not several").hint("merge"), keep.where("several").hint("merge")
     once = docs.join(alone, docs[id_col].eqNullSafe(alone[name]), "left_semi")
     if several.isEmpty():
         return once
