@@ -28,7 +28,7 @@ def op3_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
 def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d).select("doc_id", "text", "lang", fold("doc_id", 3).alias("fold"))
     model = langid.train(docs.where("fold <> 1"))
-    found = docs.select("doc_id", "fold", langid.predict(model, spark, F.col("text")).alias("p"))
+    found = langid.predict(model, docs.select("doc_id", "fold", "text"))
     return found.select(
         "doc_id",
         (F.col("fold") == 1).alias("held_out"),

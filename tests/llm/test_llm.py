@@ -52,7 +52,7 @@ OPERATORS = {
     "search": lambda d, m: search.search(d, d),
     "counts": lambda d, m: wordpiece.token_counts(d, RANKS),
     "packing": lambda d, m: packing.pack(d),
-    "langid": lambda d, m: d.select("doc_id", langid.predict(langid.train(d), d.sparkSession, F.col("text")).alias("p")),
+    "langid": lambda d, m: langid.predict(langid.train(d), d).select("doc_id", "p"),
     "simhash": lambda d, m: simhash.near_duplicates(d),
     "mixing": lambda d, m: mixing.score(d, F.col("doc_id") != 3, "lang"),
     "bpe": lambda d, m: d.select(bpe.decode(bpe.encode(F.col("text"), RANKS, P.PATTERN), RANKS).alias("raw")),
@@ -170,8 +170,8 @@ def test_packing_opens_what_costs_least(spark):
 
 def test_language_id(docs, spark):
     rows = frame(spark, [x for x in TEXTS if x[1] != LONG])  # one long text would outweigh its language
-    p = langid.predict(langid.train(rows), spark, F.col("text"))
-    got = {(r.doc_id, r.text): (r.p["lang"], r.p["score"]) for r in docs.select("doc_id", "text", p.alias("p")).collect()}
+    found = langid.predict(langid.train(rows), docs)
+    got = {(r.doc_id, r.text): (r.p["lang"], r.p["score"]) for r in found.collect()}
     for i, t, lang in TEXTS:
         if not t or not any(c.isalpha() for c in t):
             assert got[i, t] == ("und", 0.0)
