@@ -30,7 +30,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not model["names"]:
         return docs
     p = fresh(docs, "_lang")
-    found = docs.withColumn(p, langid.predict(model, spark, F.col("text")))
+    found = langid.predict(model, docs, out=p)
     good = (F.col(f"{p}.lang") != langid.UNDETERMINED) & (F.col(f"{p}.hit") >= LEAST_HIT)
     return found.where(good).drop(p)
 
