@@ -63,15 +63,16 @@ def unpack(packed: bytes, offsets: np.ndarray) -> np.ndarray:
 
 
 def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = None, groups: int = 0, compact: bool = False) -> DataFrame:
-    """(shard, term, packed, docs, tfs, lens, sums, ids, marks): ``sums[g]`` counts the
-    word in documents whose ``group`` is g (-1: none); ``ids`` and ``marks``
-    (the groups) are filled on the rows of the empty word only."""
+    """(shard, term, packed, docs, tfs, lens, sums, ids, marks, sizes): ``sums[g]``
+    counts the word in documents whose ``group`` is g (-1: none); ``ids``, ``marks``
+    (the groups) and ``sizes`` (UTF-8 bytes) are filled on the rows of the empty
+    word only."""
     ints = ArrayType(IntegerType())
     schema = StructType(
         [StructField("shard", LongType()), StructField("term", BinaryType()), StructField("packed", BinaryType())]
         + [StructField("docs", ArrayType(ShortType())), StructField("tfs", ints), StructField("lens", ints)]
         + [StructField("sums", ArrayType(LongType()))]
-        + [StructField("ids", ArrayType(docs.schema[id_col].dataType)), StructField("marks", ints)]
+        + [StructField("ids", ArrayType(docs.schema[id_col].dataType)), StructField("marks", ints), StructField("sizes", ints)]
     )
 
     def lists(values, offsets, kind):
@@ -80,7 +81,7 @@ def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = No
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
 
-        def shard(ids, texts, marks):
+        def shard(ids, texts, marks, sizes):
             code: dict = defaultdict()
             code.default_factory = code.__len__
             tokens, lens = [], []
@@ -128,7 +129,7 @@ def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = No
                 b = min(a + 65_536, len(words))
                 lo, hi = offsets[a], offsets[b]
                 held = a <= end < b  # the row of the empty word is among these
-                own_ids, own_marks, own_lens = (ids, marks, lens) if held else (ids.slice(0, 0), marks[:0], lens[:0])
+                own_ids, own_marks, own_lens, own_sizes = (ids, marks, lens, sizes) if held else (ids.slice(0, 0), marks[:0], lens[:0], sizes[:0])
                 once = at[a : b + 1] - at[a]
                 if compact:
                     packed = pa.nulls(b - a, pa.binary())
@@ -149,16 +150,17 @@ def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = No
                     lists(sums[a:b].ravel(), np.arange(b - a + 1) * groups, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(once, pa.int32()), own_ids),
                     lists(own_marks, once, pa.int32()),
+                    lists(own_sizes, once, pa.int32()),
                 ]
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in schema.fields])
 
-        ids, texts, marks, size = [], [], [], 0
+        ids, texts, marks, sizes, size = [], [], [], [], 0
 
         def flush():
-            nonlocal ids, texts, marks, size, number
+            nonlocal ids, texts, marks, sizes, size, number
             if texts:
-                yield from shard(pa.concat_arrays(ids), texts, np.asarray(marks, np.int64))
-                ids, texts, marks, size, number = [], [], [], 0, number + 1
+                yield from shard(pa.concat_arrays(ids), texts, np.asarray(marks, np.int64), np.asarray(sizes, np.int64))
+                ids, texts, marks, sizes, size, number = [], [], [], [], 0, number + 1
 
         for batch in batches:
             own = batch.column(0).take(pa.array(np.arange(batch.num_rows)))  # a copy, which does not hold the batch's texts
@@ -166,6 +168,7 @@ def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = No
                 ids.append(own.slice(i, 1))
                 texts.append(t.as_py())
                 marks.append(g)
+                sizes.append(t.as_buffer().size if t.is_valid else 0)
                 size += len(texts[-1] or "")
                 if len(texts) >= DOCS or size >= CHARS:
                     yield from flush()
@@ -176,9 +179,9 @@ def build(docs: DataFrame, id_col: str, text_col: str, group: Column | None = No
 
 
 def members(index: DataFrame) -> DataFrame:
-    """(shard, doc, id, len, mark): the documents of every shard."""
-    rows = index.where(F.col("term") == F.lit(END)).select("shard", F.explode(F.arrays_zip("docs", "ids", "lens", "marks")).alias("d"))
-    return rows.select("shard", F.col("d.docs").alias("doc"), F.col("d.ids").alias("id"), F.col("d.lens").alias("len"), F.col("d.marks").alias("mark"))
+    """(shard, doc, id, len, mark, size): the documents of every shard."""
+    rows = index.where(F.col("term") == F.lit(END)).select("shard", F.explode(F.arrays_zip("docs", "ids", "lens", "marks", "sizes")).alias("d"))
+    return rows.select("shard", F.col("d.docs").alias("doc"), F.col("d.ids").alias("id"), F.col("d.lens").alias("len"), F.col("d.marks").alias("mark"), F.col("d.sizes").alias("size"))
 
 
 def shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -226,7 +226,7 @@ def test_bits_are_a_probability():
     table = np.zeros((mixing.ORDERS, mixing.SLOTS, 2), np.uint32)
     known = [b"ab", b"abc", b"b", b""] * 3
     mixing.count_bits(known, table)
-    model = mixing.fit(table, known)
+    model = mixing.model_of(table, *mixing.fit(table, known))
     one = [bytes([a]) for a in range(256) if a != 32] + [b""]
     mass = sum(10 ** mixing.log10_bytes(model, one))
     assert 0 < mass <= 1 and mixing.log10_bytes(model, [b"ab"])[0] > mixing.log10_bytes(model, [b"zq"])[0]
