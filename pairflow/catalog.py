@@ -10,7 +10,9 @@ the reference's ``meanings`` input).
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 import pyarrow.compute as pc
@@ -464,8 +466,10 @@ def conv_words(spark: SparkSession, d: str) -> DataFrame:
 
 def q_cogroup_three_words(spark, d):
     """n-way cogroup of documents' word counts, benchmark items and conversations
-    per word, in chunks of bounded size: the tuples of values met, and the values
-    of each side, counted once per chunk."""
+    per word: all values of each side, put together from chunks of bounded size,
+    how many they are, and the tuples of values met."""
+    outs = ["vs", "ws", "zs"]
+    # Sorted, so that a chunk's list is the same wherever the grid repeats it.
     grid = cogroup_grid(
         [
             (doc_word_counts(spark, d), "n", None),
@@ -473,16 +477,15 @@ def q_cogroup_three_words(spark, d):
             (conv_words(spark, d), "conv_id", Split(by=("conv_id",), max_rows=1000, parts=8)),
         ],
         "word",
-        ["vs", "ws", "zs"],
+        outs,
+        sort=True,
     )
-    sizes = [F.size(c).cast("bigint") for c in ("vs", "ws", "zs")]
-
-    def values(i, size):
-        chunks = F.collect_set(F.struct(f"chunk_{i}", size.alias("n")))
-        return F.aggregate(chunks, F.lit(0).cast("bigint"), lambda a, c: a + c["n"])
-
-    counts = [values(i, n).alias(name) for i, (n, name) in enumerate(zip(sizes, ("n_counts", "n_items", "n_convs")))]
-    return grid.groupBy("word").agg(*counts, F.sum(sizes[0] * sizes[1] * sizes[2]).alias("tuples"))
+    met = reduce(operator.mul, [F.size(c).cast("bigint") for c in outs])
+    chunks = [F.collect_set(F.struct(f"chunk_{i}", F.col(c).alias("own"))).alias(c) for i, c in enumerate(outs)]
+    rows = grid.groupBy("word").agg(*chunks, F.sum(met).alias("tuples"))
+    rows = rows.select("word", *[F.sort_array(F.flatten(F.col(c)["own"])).alias(c) for c in outs], "tuples")
+    counts = [F.size(c).cast("bigint").alias(name) for c, name in zip(outs, ("n_counts", "n_items", "n_convs"))]
+    return rows.select("word", *outs, *counts, "tuples")
 
 
 def _spread_of(key, vs, ws):
@@ -678,11 +681,16 @@ ORACLE: dict[str, str] = {
     "format_counts": f"select word || ' ' || cast(n as varchar) as s from {WORD_COUNTS}",
     "word_lengths_pandas": f"select length(word)::bigint as len, count(*)::bigint as n from {DOC_WORDS} group by 1",
     "cogroup_three_words": f"""
-        select word, sum(c)::bigint as n_counts, sum(b)::bigint as n_items, sum(v)::bigint as n_convs,
-               (sum(c) * sum(b) * sum(v))::bigint as tuples
-        from (select word, 1 as c, 0 as b, 0 as v from {WORD_COUNTS}
-              union all select word, 0, 1, 0 from {BENCH_WORDS}
-              union all select word, 0, 0, 1 from {CONV_WORDS})
+        select word,
+               coalesce(list(n order by n nulls first) filter (where t = 0), []) as vs,
+               coalesce(list(item_id order by item_id nulls first) filter (where t = 1), []) as ws,
+               coalesce(list(conv_id order by conv_id nulls first) filter (where t = 2), []) as zs,
+               count(*) filter (where t = 0)::bigint as n_counts, count(*) filter (where t = 1)::bigint as n_items,
+               count(*) filter (where t = 2)::bigint as n_convs,
+               (count(*) filter (where t = 0) * count(*) filter (where t = 1) * count(*) filter (where t = 2))::bigint as tuples
+        from (select word, n, null::bigint as item_id, null::bigint as conv_id, 0 as t from {WORD_COUNTS}
+              union all select word, null, item_id, null, 1 from {BENCH_WORDS}
+              union all select word, null, null, conv_id, 2 from {CONV_WORDS})
         group by word""",
     "combine_mean_range": """
         select l_suppkey, sum(c)::bigint::double / count(*)::double as mean, (max(c) - min(c))::bigint as range
