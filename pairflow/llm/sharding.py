@@ -6,6 +6,7 @@ seeded Fisher-Yates order in memory (Spark's ``shuffle`` of an array) and
 written.  Pass 2 numbers the written rows: a row's rank is its place in its
 bucket behind all earlier buckets, and ranks are dealt to shards in turn, so
 shards' row counts are at most one apart and slots have no gaps (law ``rows``).
+``write`` and ``written`` carry whole rows through both passes into shards' files.
 
 A row's bucket comes from its id, its text and the input partition it stands
 in, so neither an id nor a text that a third of the rows share fills a bucket.
@@ -18,11 +19,14 @@ empty table gives no rows; carried columns keep their names unless they are
 ``shard`` or ``slot``, which are replaced.  Everything is DataFrame functions.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pairflow.llm.base import saved
+from pairflow.session import ensure_checkpoint_dir
 
 SHARDS, SEED = 24, 42
 BUCKET = 32 << 20  # bytes of rows in a bucket
@@ -81,14 +85,34 @@ def assign(
     """(id, size, crc, shard, slot, carried) of every row."""
     rows = shuffled(docs, id_col, text_col, carry, seed, bucket)
     rank = F.col("before") + F.col("at")
-    placed = rows.join(_offsets(rows), "bucket").select("r.*", (rank % shards).cast("int").alias("shard"), F.floor(rank / shards).alias("slot"))
+    # A row for each bucket: sent to the tasks, so that the rows stay where they were written.
+    placed = rows.join(F.broadcast(_offsets(rows)), "bucket").select("r.*", (rank % shards).cast("int").alias("shard"), F.floor(rank / shards).alias("slot"))
     return placed
 
 
+def _whole(docs: DataFrame, shards: int, id_col: str, text_col: str, seed: int) -> DataFrame:
+    """(shard, slot, all columns of ``docs``)."""
+    carry = tuple(c for c in docs.columns if c.lower() not in ("shard", "slot"))
+    return assign(docs, shards, id_col, text_col, carry, seed).select("shard", "slot", "carried.*")
+
+
 def write(docs: DataFrame, path: str, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> None:
     """Write all columns of ``docs`` as Parquet folders ``shard=0`` and so on, each in
     the order of ``slot``; many tasks share a shard, ranges of slots each."""
-    carry = tuple(c for c in docs.columns if c.lower() not in ("shard", "slot"))
-    rows = assign(docs, shards, id_col, text_col, carry, seed)
-    rows = rows.select("shard", "slot", "carried.*")
+    rows = _whole(docs, shards, id_col, text_col, seed)
     rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+
+
+def written(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:
+    """The rows of the shards' files, written into the session's shared folder:
+    all columns of ``docs``, with slot and shard.  As a bucket's ranks follow one
+    another, pass 2 moves no row: a task writes its buckets' part of every shard,
+    each file in the order of ``slot``."""
+    folder = ensure_checkpoint_dir(docs.sparkSession)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{folder}/shards-{uuid.uuid4().hex}"
+    rows = _whole(docs, shards, id_col, text_col, seed)
+    rows.sortWithinPartitions("shard", "slot").write.partitionBy("shard").option("compression", "zstd").parquet(path)
+    fields = [f for f in rows.schema.fields if f.name != "shard"] + [rows.schema["shard"]]
+    return docs.sparkSession.read.schema(type(rows.schema)(fields)).parquet(path)
