@@ -58,15 +58,26 @@ def _codes(column: pa.Array) -> tuple[np.ndarray, int]:
         return np.array([seen.setdefault(hashable(v), len(seen)) for v in column.to_pylist()], np.int64), len(seen)
 
 
-def runs(columns: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
-    """(order, starts): row numbers with equal keys side by side, and where each
-    run of them starts; without key columns there is one run."""
+def _numbers(columns: list[pa.Array]) -> np.ndarray:
     if not columns:
         raise ValueError("no key columns")
     codes, _ = _codes(columns[0])
     for c in columns[1:]:
         more, n = _codes(c)
         codes = np.unique(codes * n + more, return_inverse=True)[1]
+    return codes
+
+
+def changes(columns: list[pa.Array]) -> np.ndarray:
+    """Where a row's key isn't that of the row before it; the first row is one."""
+    codes = _numbers(columns)
+    return np.flatnonzero(np.r_[True, np.diff(codes) != 0]) if len(codes) else codes
+
+
+def runs(columns: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
+    """(order, starts): row numbers with equal keys side by side, and where each
+    run of them starts; without key columns there is one run."""
+    codes = _numbers(columns)
     order = np.argsort(codes, kind="stable")
     if not len(order):
         return order, order
