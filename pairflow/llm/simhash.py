@@ -31,11 +31,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairflow.llm.base import fresh, saved, strings
+from pairflow.llm.base import batches_of, fresh, saved, strings
 from pairflow.llm.graph import components
 
 SEED = 42
 SLICE = 65_536  # shingles whose bits are counted at once
+TEXTS = 1024  # texts that a task hands to Python at once
 
 
 def simhash(text: str, shingle: int = 3) -> int:
@@ -92,7 +93,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: id, fp (long), fingerprint (16 hex digits), grp
     (a fingerprint that names the component), component_id (the smallest id
     reachable)."""
-    rows = saved(docs.select(F.col(id_col).alias("_id"), fingerprint(F.col(text_col), shingle).alias("fp")))
+    with batches_of(docs.sparkSession, TEXTS):
+        rows = saved(docs.select(F.col(id_col).alias("_id"), fingerprint(F.col(text_col), shingle).alias("fp")))
     prints = saved(rows.groupBy("fp").agg(F.min("_id").alias("first")))
     group = components(links(prints.select("fp")))
     named = prints.join(group, prints["fp"] == group["node"], "left").select(

@@ -2,7 +2,7 @@
 
 import pytest
 
-from pairflow.llm import search
+from pairflow.llm import search, simhash
 from pairflow.llm.base import BATCH_SIZES, batches_of
 from pairflow.sources import rows_to_df
 
@@ -24,6 +24,20 @@ def test_batch_sizes_hold_inside_only(spark):
     assert _sizes(spark) == before
 
 
+def test_fingerprints_take_few_texts_at_once(spark, monkeypatch):
+    docs = _docs(spark, 40)
+    want = {r.doc_id: (r.fp, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    strings = simhash.strings
+
+    def few(series):
+        assert len(series) <= 8
+        return strings(series)
+
+    monkeypatch.setattr(simhash, "TEXTS", 8, raising=False)
+    monkeypatch.setattr(simhash, "strings", few)
+    assert {r.doc_id: (r.fp, r.component_id) for r in simhash.near_duplicates(docs).collect()} == want
+
+
 def test_shards_meet_queries_one_row_at_once(spark, monkeypatch):
     docs, before, seen, saved = _docs(spark, 40), _sizes(spark), [], search.saved
 
